@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
+EDGES_A_FILE = 100_000
+
 
 def _large(e: DataFrame) -> DataFrame:
     both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,11 +29,11 @@ def components(edges: DataFrame) -> DataFrame:
     """``u``, ``v`` (long, any order) to ``node``, ``root``: the smallest node of its component, for every node but the
     roots. Loops and repeated edges do not matter; no edges, no rows."""
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = stage(e, "edges")
-    seen = None
+    seen, e = None, stage(e, "edges")
     while True:
         mark = e.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))).alias("h")).first()
         if mark == seen or not mark["n"]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = mark
-        e = stage(_small(_large(e)), "stars")
+        # one file for every so many edges, so that rounds on a small table do not write a file for each shuffle partition
+        e = stage(_small(_large(e)).coalesce(1 + mark["n"] // EDGES_A_FILE), "stars")

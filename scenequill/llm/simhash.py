@@ -194,12 +194,12 @@ def op5_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         return [fingerprint(np.array(shingle_hashes(text.lower().split(), 3), np.uint64))]
 
     rows = stage(by_text(docs, simhash).select("_id", "_rk", F.col("fps")[0].alias("fp")), "simhash")
-    groups = stage(rows.groupBy("fp").agg(F.min("_id").alias("first")), "simhash-groups")
+    groups = rows.groupBy("fp").agg(F.min("_id").alias("first"))
     roots = components(links(groups.select(F.col("fp").alias("node"), "fp", F.lit(0).alias("tab")))).withColumnRenamed("node", "fp")
     # only fingerprints in links need a join; each of the others is its own component
     linked = groups.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     ids = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows, stage(linked.join(ids, "root").select("fp", "component_id"), "simhash-components")
+    return rows, linked.join(ids, "root").select("fp", "component_id")
 
 
 def op5_simhash_near_dedup(spark, sf_dir) -> DataFrame:
@@ -236,11 +236,10 @@ def near_dedup(docs: DataFrame, tables: int = TABLES) -> DataFrame:
     rows = by_text(docs, lambda t: table_fingerprints(t, tables)).withColumn("node", F.monotonically_increasing_id())
     rows = stage(rows, "table-simhash")
     # equal in all tables: one node for the lot
-    same = stage(rows.groupBy("fps").agg(F.min("node").alias("node"), F.min(F.struct("_id", "_rk", "node")).alias("top")), "table-groups")
+    same = rows.groupBy("fps").agg(F.min("node").alias("node"), F.min(F.struct("_id", "_rk", "node")).alias("top"))
     roots = components(links(same.select("node", F.posexplode("fps").alias("tab", "fp"))))
     linked = same.join(roots, "node", "left").select("fps", "top", F.coalesce("root", "node").alias("root"))
-    tops = stage(linked.groupBy("root").agg(F.min("top").alias("first"), F.count("*").alias("n")).join(linked.select("root", "fps"), "root"), "table-components")
-    stay = stage(rows.join(tops.select("fps", "first").hint("merge"), "fps").where(F.col("node") == F.col("first.node")).select(F.col("_id").alias("__id"), F.col("_rk").alias("__rk")), "near-kept")
+    stay = linked.groupBy("root").agg(F.min("top").alias("first")).select(F.col("first._id").alias("__id"), F.col("first._rk").alias("__rk"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     tagged = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__rk": F.xxhash64(text)})
     # rows that repeat doc_id and text all match: the window, on the join's own keys, lets the first pass
