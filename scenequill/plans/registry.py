@@ -1,8 +1,479 @@
-"""Registered queries over the test tables."""
+"""Registered queries over the test tables, each with its SQL for the side-by-side check where SQL can express it."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import geometry as G
+from ..functions import text as T
+from ..operators import curate, dialogue, meshes, reports
+from ..sources import tables
+from . import views as V
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
 def flagship(spark, sf_dir):
     return QUERIES["scene_questions"](spark, sf_dir)
+
+
+# --- geometry ---
+
+_BOX = "scene_id, object_id, mx, my, mz, cx, cy, cz, ex, ey, ez, volume, n_points"
+
+
+@query("object_boxes", f"WITH {V.SQL_OBJECTS} SELECT {_BOX} FROM objects")
+def object_boxes(spark, sf):
+    return V.objects(spark, sf).select(*_BOX.split(", "))
+
+
+@query("ordered_pairs", f"WITH {V.SQL_PAIRS} SELECT scene_id, a_object_id, b_object_id FROM pairs")
+def ordered_pairs(spark, sf):
+    return V.pairs(spark, sf).select("scene_id", "a_object_id", "b_object_id")
+
+
+@query("unordered_pair_offsets", f"WITH {V.SQL_PAIRS} SELECT scene_id, a_object_id, b_object_id, round(b_mx - a_mx, 6) AS dx, round(b_my - a_my, 6) AS dy, round(b_mz - a_mz, 6) AS dz FROM pairs WHERE a_object_id < b_object_id")
+def unordered_pair_offsets(spark, sf):
+    p = G.pairs(V.objects(spark, sf), ordered=False)
+    return p.select("scene_id", "a_object_id", "b_object_id", *[F.round(F.col(f"b_m{a}") - F.col(f"a_m{a}"), 6).alias(f"d{a}") for a in "xyz"])
+
+
+def _predicate(name):
+    stat, greater = G.PREDICATES[name]
+    sql = f"WITH {V.SQL_PAIRS} SELECT scene_id, a_object_id, b_object_id, a_{stat} {'>' if greater else '<'} b_{stat} AS holds FROM pairs"
+    query(f"pred_{name}", sql)(lambda spark, sf: V.pairs(spark, sf).select("scene_id", "a_object_id", "b_object_id", G.predicate(name).alias("holds")))
+    if name in G.CHOICES:
+        sql = f"WITH {V.SQL_PAIRS} SELECT scene_id, a_object_id, b_object_id, CASE WHEN a_{stat} {'>' if greater else '<'} b_{stat} THEN a_object_id ELSE b_object_id END AS chosen FROM pairs"
+        query(f"choice_{name}", sql)(lambda spark, sf: V.pairs(spark, sf).select("scene_id", "a_object_id", "b_object_id", G.choice(name).alias("chosen")))
+
+
+for _name in G.PREDICATES:
+    _predicate(_name)
+
+
+@query("measures", f"WITH {V.SQL_PAIRS} SELECT scene_id, a_object_id, b_object_id, abs(a_cy - b_cy) AS vertical, round(sqrt((a_cx - b_cx) * (a_cx - b_cx) + (a_cz - b_cz) * (a_cz - b_cz)), 6) AS horizontal, a_ex AS width, a_ey AS height FROM pairs")
+def measures(spark, sf):
+    return V.pairs(spark, sf).select("scene_id", "a_object_id", "b_object_id", G.vertical_distance().alias("vertical"), F.round(G.horizontal_distance(), 6).alias("horizontal"), F.col("a_ex").alias("width"), F.col("a_ey").alias("height"))
+
+
+_NOUN_A, _NOUN_B = (V.NOUN.replace("object_id", f"{x}_object_id") for x in "ab")
+_OPS = {"left": "to the left of", "above": "above", "wide": "wider than", "big": "bigger than", "tall": "taller than", "behind": "behind", "front": "in front of", "right": "to the right of", "below": "below", "thin": "thinner than", "small": "smaller than", "short": "shorter than"}
+_QA_SQL = f"WITH {V.SQL_PAIRS} " + " UNION ALL ".join(
+    f"SELECT scene_id, a_object_id, b_object_id, '{op}' AS op, 'Is the ' || {_NOUN_A} || ' {phrase} the ' || {_NOUN_B} || '?' AS question, "
+    f"CASE WHEN a_{G.PREDICATES[op][0]} {'>' if G.PREDICATES[op][1] else '<'} b_{G.PREDICATES[op][0]} THEN 'Yes, ' ELSE 'No, ' END || 'the ' || {_NOUN_A} || ' is ' || "
+    f"CASE WHEN a_{G.PREDICATES[op][0]} {'>' if G.PREDICATES[op][1] else '<'} b_{G.PREDICATES[op][0]} THEN '' ELSE 'not ' END || '{phrase} the ' || {_NOUN_B} || '.' AS answer FROM pairs"
+    for op, phrase in _OPS.items()
+)
+
+
+@query("scene_questions", _QA_SQL)
+def scene_questions(spark, sf):
+    a, b = F.expr(_NOUN_A), F.expr(_NOUN_B)
+    rows = []
+    for op, phrase in _OPS.items():
+        q = F.concat(F.lit("Is the "), a, F.lit(f" {phrase} the "), b, F.lit("?"))
+        yes = G.predicate(op)
+        ans = F.concat(F.when(yes, "Yes, ").otherwise("No, "), F.lit("the "), a, F.lit(" is "), F.when(yes, "").otherwise("not "), F.lit(f"{phrase} the "), b, F.lit("."))
+        rows.append(F.struct(F.lit(op).alias("op"), q.alias("question"), ans.alias("answer")))
+    return V.pairs(spark, sf).select("scene_id", "a_object_id", "b_object_id", F.explode(F.array(*rows)).alias("r")).select("scene_id", "a_object_id", "b_object_id", "r.*")
+
+
+@query("scene_messages")
+def scene_messages(spark, sf):
+    q = scene_questions(spark, sf).groupBy("scene_id").agg(F.array_sort(F.collect_list(F.concat("question", F.lit(" Answer: "), "answer"))).alias("p"))
+    return q.select("scene_id", dialogue.messages_of(F.slice("p", 1, 5)).alias("messages"))
+
+
+@query("human_distance", f"WITH {V.SQL_PAIRS}, d AS (SELECT scene_id, a_object_id, b_object_id, abs(a_cz - b_cz) / 10 * 10 AS m, (scene_id * 31 + 7) % 10 AS r FROM pairs), u AS (SELECT *, CASE WHEN m < 1 THEN CASE WHEN r < 6 THEN 'centimeters' ELSE 'inches' END WHEN m < 3 THEN CASE WHEN r < 6 THEN 'meters' ELSE 'feet' END ELSE CASE WHEN r < 7 THEN 'meters' ELSE 'feet' END END AS unit FROM d) SELECT scene_id, a_object_id, b_object_id, unit, round(CASE unit WHEN 'centimeters' THEN m * 100 WHEN 'inches' THEN m * 39.37::DOUBLE WHEN 'feet' THEN m * 3.281::DOUBLE ELSE m END, 6) AS value FROM u")
+def human_distance(spark, sf):
+    p = V.pairs(spark, sf).withColumn("h", G.human_band(F.abs(F.col("a_cz") - F.col("b_cz")) / 10, F.pmod(F.col("scene_id") * 31 + 7, F.lit(10))))
+    return p.select("scene_id", "a_object_id", "b_object_id", F.col("h.unit").alias("unit"), F.round("h.value", 6).alias("value"))
+
+
+@query("nearest_cloud_distance", f"WITH {V.SQL_POINTS}, c AS (SELECT DISTINCT scene_id FROM points WHERE scene_id % 10 = 0), n AS (SELECT a.scene_id, a.object_id AS a_object_id, b.object_id AS b_object_id, a.rid, min(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z))) AS d FROM (SELECT *, row_number() OVER () AS rid FROM points) a JOIN points b ON a.scene_id = b.scene_id AND a.object_id = 'AF' AND b.object_id = 'NO' GROUP BY ALL) SELECT scene_id, a_object_id, b_object_id, round(avg(d), 6) AS mean, round(min(d), 6) AS least, round(max(d), 6) AS greatest FROM n GROUP BY ALL")
+def nearest_cloud_distance(spark, sf):
+    p = V.points(spark, sf)
+    chosen = p.select("scene_id").distinct().select("scene_id", F.lit("AF").alias("a_object_id"), F.lit("NO").alias("b_object_id"))
+    return G.nearest_distances(p, chosen).select("scene_id", "a_object_id", "b_object_id", *[F.round(c, 6).alias(c) for c in ("mean", "least", "greatest")])
+
+
+@query("oriented_saving")
+def oriented_saving(spark, sf):
+    return G.oriented_volume(V.points(spark, sf)).select("scene_id", "object_id", *[F.round(c, 4).alias(c) for c in ("oriented_volume", "aligned_volume", "saving")])
+
+
+@query("box_corners", f"WITH {V.SQL_OBJECTS}, s AS (SELECT unnest([-1, 1]) AS v) SELECT scene_id, object_id, cx + i.v * ex / 2 AS x, cy + j.v * ey / 2 AS y, cz + k.v * ez / 2 AS z FROM objects, s i, s j, s k")
+def box_corners(spark, sf):
+    signs = F.array(*[F.array(*[F.lit(v) for v in (i, j, k)]) for i in (-1, 1) for j in (-1, 1) for k in (-1, 1)])
+    o = V.objects(spark, sf).withColumn("s", F.explode(signs))
+    return o.select("scene_id", "object_id", *[(F.col(f"c{a}") + F.col("s")[i] * F.col(f"e{a}") / 2).alias(a) for i, a in enumerate("xyz")])
+
+
+@query("unprojected", "SELECT l_orderkey, l_linenumber, l_partkey, round((l_quantity - 25) * l_discount / 500, 9) + 0.0::DOUBLE AS x, round((l_tax - 0.04::DOUBLE) * l_discount / 500, 9) + 0.0::DOUBLE AS y, l_discount AS z FROM lineitem")
+def unprojected(spark, sf):
+    t = V.table(spark, sf, "lineitem")
+    x, y, z = G.unproject(F.col("l_quantity"), F.col("l_tax"), F.col("l_discount"), 500, 500, 25, 0.04)
+    return t.select("l_orderkey", "l_linenumber", "l_partkey", (F.round(x, 9) + 0.0).alias("x"), (F.round(y, 9) + 0.0).alias("y"), z)
+
+
+@query("relation_2d", "WITH d AS (SELECT o_orderkey, o_custkey % 61 - 30 AS dx, o_orderkey % 61 - 30 AS dy FROM orders), w AS (SELECT *, CASE WHEN dx > 10 THEN 'right of' WHEN dx < -10 THEN 'left of' END AS h, CASE WHEN dy > 10 THEN 'below' WHEN dy < -10 THEN 'above' END AS v FROM d) SELECT o_orderkey, CASE WHEN h IS NULL AND v IS NULL THEN 'aligned with' WHEN h IS NULL THEN v WHEN v IS NULL THEN h ELSE h || ' and ' || v END AS relation, round(sqrt(dx * dx + dy * dy), 6) AS pixels FROM d JOIN w USING (o_orderkey, dx, dy)")
+def relation_2d(spark, sf):
+    dx, dy = F.col("o_custkey") % 61 - 30, F.col("o_orderkey") % 61 - 30
+    return V.table(spark, sf, "orders").select("o_orderkey", G.relation_2d(dx, dy).alias("relation"), F.round(F.sqrt((dx * dx + dy * dy).cast("double")), 6).alias("pixels"))
+
+
+_WRAP = "((({d} + 180) % 360 + 360) % 360 - 180)"
+
+
+@query("orientation", f"SELECT o_orderkey, {_WRAP.format(d='(o_custkey % 720 - o_orderkey % 360)')} AS delta, ['front','front-right','right','back-right','back','back-left','left','front-left'][CAST(round_even((o_custkey % 360) / 45.0::DOUBLE, 0) AS BIGINT) % 8 + 1] AS facing FROM orders")
+def orientation(spark, sf):
+    az = F.col("o_custkey") % 360
+    return V.table(spark, sf, "orders").select("o_orderkey", T.wrap_degrees(F.col("o_custkey") % 720 - F.col("o_orderkey") % 360).alias("delta"), T.compass(az).alias("facing"))
+
+
+@query("decode_argmax", "WITH e AS (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id, i <= 32 ORDER BY v DESC, i) AS n FROM e) SELECT vec_id, CAST(max(i - 1) FILTER (WHERE i <= 32 AND n = 1) AS BIGINT) AS first_bin, CAST(max(i - 33) FILTER (WHERE i > 32 AND n = 1) AS BIGINT) AS second_bin FROM r GROUP BY vec_id")
+def decode_argmax(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    return e.select("vec_id", meshes.decode_bins(F.col("embedding"), 0, 32).alias("first_bin"), meshes.decode_bins(F.col("embedding"), 32, 32).alias("second_bin"))
+
+
+@query("joint_relations", "WITH j AS (SELECT c_custkey AS pose_id, unnest(range(0, 17)) AS i FROM customer), k AS (SELECT pose_id, i, (pose_id * 7 + i * 13) % 100 AS x, (pose_id * 3 + i * 29) % 100 AS y FROM j WHERE (pose_id + i) % 5 <> 0) SELECT a.pose_id, a.i AS a, b.i AS b, CASE WHEN b.x = a.x AND b.y = a.y THEN 'same' WHEN abs(b.x - a.x) >= abs(b.y - a.y) THEN CASE WHEN b.x > a.x THEN 'left of' ELSE 'right of' END WHEN b.y > a.y THEN 'above' ELSE 'below' END AS relation FROM k a JOIN k b ON a.pose_id = b.pose_id AND a.i < b.i")
+def joint_relations(spark, sf):
+    j = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("pose_id"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(16).cast("long"))).alias("i"))
+    k = j.where((F.col("pose_id") + F.col("i")) % 5 != 0).select("pose_id", "i", ((F.col("pose_id") * 7 + F.col("i") * 13) % 100).alias("x"), ((F.col("pose_id") * 3 + F.col("i") * 29) % 100).alias("y"))
+    b = k.select("pose_id", F.col("i").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    return k.join(b, "pose_id").where("i < b").select("pose_id", F.col("i").alias("a"), "b", meshes.joint_relation(F.col("bx") - F.col("x"), F.col("by") - F.col("y")).alias("relation"))
+
+
+# --- text and scores ---
+
+_W = r"(^|[^\p{L}\p{N}_])"
+_E = r"([^\p{L}\p{N}_]|$)"
+
+
+def _yn(t: str) -> str:
+    s = f"lower(trim({t}))"
+    head = f"trim(split_part(split_part({s}, ',', 1), '.', 1))"
+    y, n = (f"regexp_matches({s}, '{_W}({w}){_E}')" for w in (T.YES, T.NO))
+    return (
+        f"CASE WHEN regexp_matches({head}, '^({T.YES}){_E}') THEN TRUE WHEN regexp_matches({head}, '^({T.NO}){_E}') THEN FALSE WHEN {head} = 'actually' THEN FALSE "
+        f"WHEN {y} AND NOT {n} THEN TRUE WHEN {n} AND NOT {y} THEN FALSE END"
+    )
+
+
+def _num(t: str) -> str:
+    words = ", ".join(f"CASE WHEN regexp_matches(lower({t}), '{_W}{w}{_E}') THEN {i}.0::DOUBLE END" for i, w in enumerate(T.NUMBER_WORDS))
+    return rf"coalesce(TRY_CAST(replace(nullif(regexp_extract({t}, '([0-9]+(?:,[0-9]{{3}})*(?:\.[0-9]+)?)', 1), ''), ',', '') AS DOUBLE), {words})"
+
+
+_M = rf"([0-9]+(?:\.[0-9]+)?)\s*({T.UNITS}){_E}"
+_val = lambda t: f"TRY_CAST(nullif(regexp_extract(lower({t}), '{_M}', 1), '') AS DOUBLE)"
+_unit = lambda t: f"nullif(regexp_extract(lower({t}), '{_M}', 2), '')"
+_cm = lambda t: f"{_val(t)} * CASE {_unit(t)} " + " ".join(f"WHEN '{u}' THEN {f}::DOUBLE" for u, f in T.TO_CM.items()) + " END"
+_I = f"WITH {V.SQL_ITEMS}"
+
+
+@query("extract_yes_no", f"{_I} SELECT id, {_yn('pred')} AS said FROM items")
+def extract_yes_no(spark, sf):
+    return V.text_items(spark, sf).select("id", T.yes_no(F.col("pred")).alias("said"))
+
+
+@query("yes_no_documents", f"SELECT doc_id, {_yn('text')} AS said FROM documents")
+def yes_no_documents(spark, sf):
+    return V.table(spark, sf, "documents").select("doc_id", T.yes_no(F.col("text")).alias("said"))
+
+
+@query("extract_number", f"{_I} SELECT id, {_num('pred')} AS value FROM items")
+def extract_number(spark, sf):
+    return V.text_items(spark, sf).select("id", T.number(F.col("pred")).alias("value"))
+
+
+@query("extract_unit", f"{_I} SELECT id, {_val('pred')} AS value, {_unit('pred')} AS unit, round({_cm('pred')}, 6) AS cm FROM items")
+def extract_unit(spark, sf):
+    v, u = T.measure_value(F.col("pred")), T.measure_unit(F.col("pred"))
+    return V.text_items(spark, sf).select("id", v.alias("value"), u.alias("unit"), F.round(T.to_cm(v, u), 6).alias("cm"))
+
+
+_OPT = lambda t: f"coalesce(upper(nullif(regexp_extract({t}, '[Aa]nswer\\s*:\\s*[(\\[]?([A-Fa-f]){_E}', 1), '')), upper(nullif(regexp_extract({t}, '[(\\[]([A-Fa-f])[)\\]]', 1), '')))"
+
+
+@query("extract_option", f"{_I} SELECT id, {_OPT('pred')} AS pred_option, {_OPT('truth')} AS truth_option FROM items")
+def extract_option(spark, sf):
+    return V.text_items(spark, sf).select("id", T.option(F.col("pred")).alias("pred_option"), T.option(F.col("truth")).alias("truth_option"))
+
+
+@query("classify_question", f"{_I} SELECT id, CASE WHEN regexp_matches(lower(question), 'how far|distance|how close|how much space') THEN CASE WHEN contains(lower(question), 'vertical') THEN 'vertical' WHEN contains(lower(question), 'horizontal') THEN 'horizontal' ELSE 'distance' END WHEN regexp_matches(lower(question), 'how (wide|tall|high|long|big)|width of|height of') THEN 'measurement' WHEN contains(lower(question), ' or the ') THEN 'choice' WHEN regexp_matches(lower(question), '^(is the|does the|can you confirm)') THEN 'predicate' ELSE 'unknown' END AS kind FROM items")
+def classify_question(spark, sf):
+    return V.text_items(spark, sf).select("id", T.question_class(F.col("question")).alias("kind"))
+
+
+_PG = f"{_I}, u AS (SELECT *, {_val('pred')} IS NOT NULL AND {_val('truth')} IS NOT NULL AS both_units FROM items), pg AS (SELECT *, CASE WHEN both_units THEN {_cm('pred')} ELSE {_num('pred')} END AS p, CASE WHEN both_units THEN {_cm('truth')} ELSE {_num('truth')} END AS g FROM u)"
+_DIST = "CASE WHEN p = 0 AND g = 0 THEN 1.0::DOUBLE WHEN p = 0 OR g = 0 THEN 0.0::DOUBLE WHEN p IS NOT NULL AND g IS NOT NULL THEN CAST(greatest(p / nullif(g, 0), g / nullif(p, 0)) < 2.0::DOUBLE AS DOUBLE) END"
+_MRA = "CASE WHEN p IS NULL OR g IS NULL THEN NULL WHEN g = 0 THEN CAST(p = 0 AS DOUBLE) ELSE (0.0::DOUBLE + " + " + ".join(f"CASE WHEN abs(p - g) / nullif(abs(g), 0) <= {x!r}::DOUBLE THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" for x in T.MRA_LIMITS) + ") / 10.0::DOUBLE END"
+
+
+@query("score_distance", f"{_PG} SELECT id, {_DIST} AS score FROM pg")
+def score_distance(spark, sf):
+    return V.text_items(spark, sf).select("id", T.score_distance(F.col("pred"), F.col("truth")).alias("score"))
+
+
+@query("score_mra", f"{_PG} SELECT id, round({_MRA}, 6) AS score FROM pg")
+def score_mra(spark, sf):
+    return V.text_items(spark, sf).select("id", F.round(T.score_mra(F.col("pred"), F.col("truth")), 6).alias("score"))
+
+
+@query("score_yes_no", f"{_I} SELECT id, CAST(({_yn('pred')}) = ({_yn('truth')}) AS DOUBLE) AS score FROM items")
+def score_yes_no(spark, sf):
+    return V.text_items(spark, sf).select("id", T.score_yes_no(F.col("pred"), F.col("truth")).alias("score"))
+
+
+@query("score_choice", f"{_I}, n AS (SELECT *, nullif(regexp_extract(lower(question), 'the ([^?.]+?) or the [^?.]+[?.]', 1), '') AS a, nullif(regexp_extract(lower(question), 'the [^?.]+? or the ([^?.]+)[?.]', 1), '') AS b FROM items), m AS (SELECT *, CASE WHEN contains(lower(truth), a) THEN a WHEN contains(lower(truth), b) THEN b END AS named FROM n) SELECT id, CASE WHEN named IS NOT NULL THEN CAST(contains(lower(pred), named) AS DOUBLE) ELSE CAST(trim(lower(pred)) = trim(lower(truth)) AS DOUBLE) END AS score FROM m")
+def score_choice(spark, sf):
+    return V.text_items(spark, sf).select("id", T.score_choice(F.col("pred"), F.col("truth"), F.col("question")).alias("score"))
+
+
+_ITEM = f"CASE WHEN {_OPT('pred')} IS NOT NULL AND {_OPT('truth')} IS NOT NULL THEN CAST({_OPT('pred')} = {_OPT('truth')} AS DOUBLE) ELSE CAST(upper(trim(pred)) = upper(trim(truth)) AS DOUBLE) END"
+
+
+def item_score(pred, truth):
+    p, g = T.option(pred), T.option(truth)
+    return F.when(p.isNotNull() & g.isNotNull(), (p == g).cast("double")).otherwise((F.upper(T.strip(pred)) == F.upper(T.strip(truth))).cast("double"))
+
+
+@query("score_option_items", f"{_I} SELECT id, {_ITEM} AS score FROM items")
+def score_option_items(spark, sf):
+    return V.text_items(spark, sf).select("id", item_score(F.col("pred"), F.col("truth")).alias("score"))
+
+
+@query("score_answer_in_text", f"{_I} SELECT id, CASE WHEN {_OPT('pred')} IS NOT NULL AND {_OPT('truth')} IS NOT NULL THEN CAST({_OPT('pred')} = {_OPT('truth')} AS DOUBLE) ELSE CAST(contains(lower(truth), lower(pred)) AS DOUBLE) END AS score FROM items")
+def score_answer_in_text(spark, sf):
+    p, g = T.option(F.col("pred")), T.option(F.col("truth"))
+    return V.text_items(spark, sf).select("id", F.when(p.isNotNull() & g.isNotNull(), (p == g).cast("double")).otherwise(F.contains(F.lower("truth"), F.lower("pred")).cast("double")).alias("score"))
+
+
+@query("score_open_ended", f"{_PG} SELECT id, round(coalesce({_DIST}, {_MRA}, CAST(trim(lower(pred)) = trim(lower(truth)) AS DOUBLE)), 6) AS score FROM pg")
+def score_open_ended(spark, sf):
+    p, g = F.col("pred"), F.col("truth")
+    return V.text_items(spark, sf).select("id", F.round(F.coalesce(T.score_distance(p, g), T.score_mra(p, g), (T.strip(F.lower(p)) == T.strip(F.lower(g))).cast("double")), 6).alias("score"))
+
+
+_SC = f"{_PG}, s AS (SELECT id, category, subcategory, {_DIST} AS score FROM pg)"
+_ACC = "round(avg(coalesce(score, 0)), 6) AS accuracy, count(*) AS n, count(*) FILTER (WHERE score IS NULL) AS n_unscored"
+
+
+@query("report_rollup", f"{_SC} SELECT 'overall' AS level, 'all' AS key, {_ACC} FROM s UNION ALL SELECT 'category', category, {_ACC} FROM s GROUP BY category UNION ALL SELECT 'subcategory', subcategory, {_ACC} FROM s GROUP BY subcategory")
+def report_rollup(spark, sf):
+    return reports.rollup(V.text_items(spark, sf).withColumn("score", T.score_distance(F.col("pred"), F.col("truth"))))
+
+
+@query("left_join_missing", f"{_I} SELECT i.id, CASE WHEN i.id % 3 = 0 THEN '' ELSE i.pred END AS prediction FROM items i")
+def left_join_missing(spark, sf):
+    items = V.text_items(spark, sf)
+    preds = items.where("id % 3 <> 0").select("id", F.col("pred").alias("prediction"), F.lit(1).alias("seq"))
+    return reports.with_predictions(items.select("id"), preds.union(preds.select("id", F.lit("older"), F.lit(0))))
+
+
+_JS = "js AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'no score' ELSE '[' || CAST(1 + o_orderkey % 5 AS STRING) || '] ok' END AS t FROM orders)"
+
+
+@query("parse_score", f"WITH {_JS} SELECT id, TRY_CAST(nullif(regexp_extract(t, '\\[([0-9]+(?:\\.[0-9]+)?)\\]', 1), '') AS DOUBLE) AS score FROM js")
+def parse_score(spark, sf):
+    o = F.col("o_orderkey")
+    return V.table(spark, sf, "orders").select(o.alias("id"), T.judge_score(F.when(o % 7 == 0, "no score").otherwise(F.concat(F.lit("["), (1 + o % 5).cast("string"), F.lit("] ok")))).alias("score"))
+
+
+@query("score_histogram", f"WITH {_JS}, p AS (SELECT TRY_CAST(nullif(regexp_extract(t, '\\[([0-9]+)\\]', 1), '') AS DOUBLE) AS s FROM js), c AS (SELECT CAST(greatest(1, least(5, round_even(s, 0))) AS BIGINT) AS bucket, count(*) AS n FROM p WHERE s IS NOT NULL GROUP BY 1) SELECT CAST(r.i AS BIGINT) AS bucket, coalesce(n, 0) AS n, round(coalesce(n, 0) / sum(coalesce(n, 0)) OVER (), 6) AS share FROM range(1, 6) r(i) LEFT JOIN c ON c.bucket = r.i")
+def score_histogram(spark, sf):
+    return reports.score_histogram(parse_score(spark, sf))
+
+
+@query("setting_of_id", "SELECT doc_id, CASE WHEN contains(lower(text), 'around') THEN 'around' WHEN contains(lower(text), 'rotation') THEN 'rotation' WHEN contains(lower(text), 'translation') THEN 'translation' WHEN contains(lower(text), 'among') THEN 'among' ELSE 'other' END AS setting FROM documents")
+def setting_of_id(spark, sf):
+    return V.table(spark, sf, "documents").select("doc_id", tables.setting_of(F.col("text")).alias("setting"))
+
+
+@query("options_text", "SELECT p_partkey, '(A) ' || p_name || chr(10) || '(B) ' || p_brand || chr(10) || '(C) ' || p_type || chr(10) || 'Answer with the letter only.' AS prompt, chr(CAST(65 + p_size % 3 AS INTEGER)) AS letter FROM part")
+def options_text(spark, sf):
+    return V.table(spark, sf, "part").select("p_partkey", reports.options_text(F.array("p_name", "p_brand", "p_type")).alias("prompt"), tables.answer_letter((F.col("p_size") % 3).cast("string")).alias("letter"))
+
+
+@query("point_tags", "SELECT o_orderkey, CAST(o_custkey % 640 AS DOUBLE) / 640 * 100 / 100 * 640 AS x, 'item ' || CAST(o_custkey % 7 AS STRING) AS alt FROM orders")
+def point_tags(spark, sf):
+    o = V.table(spark, sf, "orders")
+    tag = F.concat(F.lit('a <point x="'), (F.col("o_custkey") % 640).cast("double") / 640 * 100, F.lit('" y="50.0" alt="Item '), (F.col("o_custkey") % 7).cast("string"), F.lit('"/> and <point x="150" y="1" alt="out">'))
+    p = o.select("o_orderkey", F.explode(T.parse_points(tag, F.lit(640), F.lit(480))).alias("p"))
+    return p.select("o_orderkey", F.col("p.x").alias("x"), F.col("p.alt").alias("alt"))
+
+
+# --- dialogue ---
+
+
+@query("judge_pairs", "WITH t AS (SELECT *, lag(role) OVER w AS r, lag(coalesce(text, '')) OVER w AS q FROM conversations WHERE role IN ('user', 'assistant') WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn, q AS question, coalesce(text, '') AS answer FROM t WHERE role = 'assistant' AND r = 'user' AND q <> ''")
+def judge_pairs(spark, sf):
+    return dialogue.pending_pairs(V.table(spark, sf, "conversations"))
+
+
+@query("adjacent_qa_pairs", "WITH t AS (SELECT *, lead(role) OVER w AS r, lead(text) OVER w AS a FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn, text AS question, a AS answer FROM t WHERE role = 'user' AND r = 'assistant'")
+def adjacent_qa_pairs(spark, sf):
+    return dialogue.adjacent_pairs(V.table(spark, sf, "conversations"))
+
+
+@query("judge_requests")
+def judge_requests(spark, sf):
+    r = dialogue.judge_records(judge_pairs(spark, sf))
+    return r.select("conv_id", "turn", dialogue.request_of(F.col("instruction")).alias("request"), F.col("response to evaluate").alias("answer"))
+
+
+ORACLES["judge_requests"] = ORACLES["judge_pairs"].replace("q AS question, coalesce(text, '') AS answer", "q || chr(10) || '###Response: ' || coalesce(text, '') AS request, coalesce(text, '') AS answer")
+
+
+@query("positional_match", "WITH a AS (SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_idx FROM orders), b AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS row_idx FROM customer) SELECT a.row_idx, a.id, b.c_custkey, '[' || CAST(1 + c_custkey % 5 AS STRING) || '] ok' AS scored FROM a JOIN b USING (row_idx)")
+def positional_match(spark, sf):
+    from pyspark.sql import Window
+
+    def nth(t, key, name):
+        d = V.table(spark, sf, t)
+        return d.select(F.col(key).alias(name), (F.row_number().over(Window.orderBy(key)) - 1).cast("long").alias("row_idx"))
+
+    j = nth("orders", "o_orderkey", "id").join(nth("customer", "c_custkey", "c_custkey"), "row_idx")
+    return j.select("row_idx", "id", "c_custkey", dialogue.scored_text((1 + F.col("c_custkey") % 5).cast("double"), F.lit("ok")).alias("scored"))
+
+
+_EV = "ev AS (SELECT user_id AS trace_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, CASE event_id % 4 WHEN 0 THEN 'task' WHEN 1 THEN 'tool' WHEN 2 THEN 'text' ELSE 'prefill' END AS kind, event_type AS content FROM events)"
+
+
+@query("trace_messages", f"WITH {_EV}, k AS (SELECT *, sum(CASE WHEN kind = 'tool' THEN 1 ELSE 0 END) OVER (PARTITION BY trace_id ORDER BY seq) AS c, row_number() OVER (PARTITION BY trace_id, kind ORDER BY seq) AS n FROM ev WHERE kind <> 'prefill') SELECT trace_id, seq, CAST(0 AS BIGINT) AS part, 'system' AS role, 'tools' AS content, NULL AS call_id FROM k WHERE kind = 'task' AND n = 1 UNION ALL SELECT trace_id, seq, 1, 'user', content, NULL FROM k WHERE kind = 'task' AND n = 1 UNION ALL SELECT trace_id, seq, 0, 'assistant', '', 'call_' || CAST(CAST(c AS BIGINT) AS STRING) FROM k WHERE kind = 'tool' UNION ALL SELECT trace_id, seq, 1, 'tool', content, 'call_' || CAST(CAST(c AS BIGINT) AS STRING) FROM k WHERE kind = 'tool' UNION ALL SELECT trace_id, seq, 0, 'assistant', content, NULL FROM k WHERE kind = 'text'")
+def trace_messages(spark, sf):
+    from pyspark.sql import Window
+
+    e = V.table(spark, sf, "events")
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("task", "tool", "text", "prefill")]), (F.pmod("event_id", F.lit(4)) + 1).cast("int"))
+    seq = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long")
+    return dialogue.trace_messages(e.select(F.col("user_id").alias("trace_id"), seq.alias("seq"), kind.alias("kind"), F.col("event_type").alias("content")))
+
+
+# --- choosing ---
+
+_TAGS = "m AS (SELECT label, i, round(avg(v), 6) AS v FROM (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i), g AS (SELECT label, list(v ORDER BY i) AS t FROM m GROUP BY label), tags AS (SELECT label, list_transform(t, lambda x: x / sqrt(list_sum(list_transform(t, lambda y: y * y)))) AS t FROM g), sims AS (SELECT vec_id, e.label AS own, tags.label, round(list_sum(list_transform(list_zip(embedding, t), lambda z: z[1]::DOUBLE * z[2])), 6) AS s FROM embeddings e, tags), best AS (SELECT * FROM sims QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) = 1)"
+
+
+@query("tag_assign", f"WITH {_TAGS} SELECT vec_id, 'tag_' || CAST(label AS STRING) AS tag, s AS similarity FROM best")
+def tag_assign(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    return curate.nearest_tag(e, curate.label_tags(e))
+
+
+@query("tag_filter", f"WITH {_TAGS} SELECT vec_id, 'tag_' || CAST(label AS STRING) AS tag FROM best WHERE label IN (1, 2, 3) AND label <> 3")
+def tag_filter(spark, sf):
+    return tag_assign(spark, sf).where(curate.tag_passes(F.col("tag"), "tag_1, tag_2,tag_3", "tag_3")).select("vec_id", "tag")
+
+
+@query("null_filter", "SELECT doc_id, quality, toxic FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND toxic IS NOT NULL AND text IS NOT NULL")
+def null_filter(spark, sf):
+    d = V.table(spark, sf, "documents").select("doc_id", "text").join(V.table(spark, sf, "labels"), "doc_id", "left")
+    return d.where(curate.not_null(d)).select("doc_id", "quality", "toxic")
+
+
+@query("curate_random", "SELECT vec_id FROM embeddings ORDER BY md5('0:' || CAST(vec_id AS STRING)) LIMIT 50")
+def curate_random(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    return curate.random_subset(F.col("vec_id"), e.select("vec_id"), 50).select("vec_id")
+
+
+def _fps_sql(k: int) -> str:
+    d = "sqrt(list_sum(list_transform(list_zip(e.embedding, c.v), lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2]))))"
+    out = ["c0 AS MATERIALIZED (SELECT 0 AS rank, vec_id, embedding AS v FROM embeddings WHERE vec_id = 0)", "s0 AS MATERIALIZED (SELECT * FROM c0)"]
+    for i in range(1, k):
+        out.append(f"c{i} AS MATERIALIZED (SELECT {i} AS rank, e.vec_id, any_value(e.embedding) AS v FROM embeddings e, s{i - 1} c WHERE e.vec_id NOT IN (SELECT vec_id FROM s{i - 1}) GROUP BY e.vec_id ORDER BY min({d}) DESC, e.vec_id LIMIT 1)")
+        out.append(f"s{i} AS MATERIALIZED (SELECT * FROM s{i - 1} UNION ALL SELECT * FROM c{i})")
+    return f"WITH {', '.join(out)} SELECT CAST(rank AS BIGINT) AS rank, vec_id FROM s{k - 1}"
+
+
+@query("curate_farthest", _fps_sql(8))
+def curate_farthest(spark, sf):
+    return curate.farthest_points(V.table(spark, sf, "embeddings"), 8, 0)
+
+
+@query("manifest_counts", "SELECT (SELECT count(*) FROM embeddings) AS source_count, CAST(50 AS BIGINT) AS selected_count, 'random' AS strategy")
+def manifest_counts(spark, sf):
+    n = V.table(spark, sf, "embeddings").agg(F.count("*").alias("source_count"))
+    return n.join(curate_random(spark, sf).agg(F.count("*").alias("selected_count"))).withColumn("strategy", F.lit("random"))
+
+
+@query("ratio_matches", "WITH d AS (SELECT a.vec_id, b.vec_id AS id, round(sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2])))), 6) AS d FROM embeddings a, embeddings b WHERE a.vec_id % 2 = 0 AND b.vec_id % 2 = 1), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, id) AS n FROM d) SELECT x.vec_id, x.id AS match_id, x.d AS d1, y.d AS d2 FROM r x JOIN r y ON x.vec_id = y.vec_id AND x.n = 1 AND y.n = 2 WHERE x.d < 0.8::DOUBLE * y.d")
+def ratio_matches(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    return curate.ratio_matches(e.where("vec_id % 2 = 0"), e.where("vec_id % 2 = 1"))
+
+
+@query("percentile_stretch", "WITH b AS (SELECT quantile_cont(value, 0.02) AS lo, quantile_cont(value, 0.85) AS hi FROM events) SELECT event_id, round(least(1.0, greatest(0.0, (value - lo) / nullif(hi - lo, 0))), 6) AS stretched FROM events, b")
+def percentile_stretch(spark, sf):
+    return reports.stretch(V.table(spark, sf, "events"), "value").select("event_id", "stretched")
+
+
+@query("median_fill", "WITH m AS (SELECT user_id, quantile_cont(value, 0.5) AS med FROM events WHERE event_id % 5 <> 0 GROUP BY user_id) SELECT event_id, CASE WHEN event_id % 5 = 0 THEN coalesce(med, 0) ELSE value END AS value FROM events LEFT JOIN m USING (user_id)")
+def median_fill(spark, sf):
+    e = V.table(spark, sf, "events").select("event_id", "user_id", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
+    return reports.median_fill(e, "user_id", "value").select("event_id", "value")
+
+
+# --- meshes, frames, subsets ---
+
+_V = "v AS (SELECT p_partkey % 20 AS mesh_id, row_number() OVER (PARTITION BY p_partkey % 20 ORDER BY p_partkey) - 1 AS vid, CAST(p_size AS DOUBLE) AS x, CAST(p_partkey % 37 AS DOUBLE) AS y, CAST(p_partkey % 11 AS DOUBLE) AS z FROM part), r AS (SELECT mesh_id, min(x) lx, max(x) hx, min(y) ly, max(y) hy, min(z) lz, max(z) hz FROM v GROUP BY mesh_id)"
+_Q = ", ".join(f"CAST(CASE WHEN h{a} > l{a} THEN floor(({a} - l{a}) / (h{a} - l{a}) * 63) ELSE 0 END AS BIGINT) AS {a}" for a in "xyz")
+
+
+def _mesh(spark, sf):
+    from pyspark.sql import Window
+
+    p = V.table(spark, sf, "part").withColumn("mesh_id", F.col("p_partkey") % 20)
+    nth = (F.row_number().over(Window.partitionBy("mesh_id").orderBy("p_partkey")) - 1).cast("long")
+    v = p.select("mesh_id", nth.alias("vid"), F.col("p_size").cast("double").alias("x"), (F.col("p_partkey") % 37).cast("double").alias("y"), (F.col("p_partkey") % 11).cast("double").alias("z"))
+    n = F.count("*").over(Window.partitionBy("mesh_id"))
+    f = v.withColumn("n", n).where("vid < n - 2").select("mesh_id", F.col("vid").alias("fid"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("pos"))
+    return v, f.select("mesh_id", "fid", F.col("pos").cast("long").alias("pos"), (F.col("fid") + F.col("pos")).alias("vid"))
+
+
+@query("mesh_quantize", f"WITH {_V} SELECT mesh_id, vid, {_Q} FROM v JOIN r USING (mesh_id)")
+def mesh_quantize(spark, sf):
+    return meshes.quantize(_mesh(spark, sf)[0])
+
+
+@query("mesh_tokens", f"WITH {_V}, q AS (SELECT mesh_id, vid, {_Q} FROM v JOIN r USING (mesh_id)), s AS (SELECT *, row_number() OVER (PARTITION BY mesh_id ORDER BY z, vid) - 1 AS nv, count(*) OVER (PARTITION BY mesh_id) AS n FROM q), f AS (SELECT a.mesh_id, a.vid AS fid, [a.nv, b.nv, c.nv] AS c FROM s a JOIN s b ON a.mesh_id = b.mesh_id AND b.vid = a.vid + 1 JOIN s c ON a.mesh_id = c.mesh_id AND c.vid = a.vid + 2), fs AS (SELECT *, row_number() OVER (PARTITION BY mesh_id ORDER BY list_sort(c), fid) AS i FROM f), l AS (SELECT mesh_id, 0 AS k, nv AS i, 'v ' || x || ' ' || y || ' ' || z AS t FROM s UNION ALL SELECT mesh_id, 1, i, 'f ' || (c[1] + 1) || ' ' || (c[2] + 1) || ' ' || (c[3] + 1) FROM fs) SELECT mesh_id, string_agg(t, chr(10) ORDER BY k, i) || chr(10) AS text FROM l GROUP BY mesh_id")
+def mesh_tokens(spark, sf):
+    v, f = _mesh(spark, sf)
+    few = meshes.small_meshes(f)
+    return meshes.mesh_text(*meshes.sort_mesh(meshes.quantize(v.join(few, "mesh_id", "left_semi")), f.join(few, "mesh_id", "left_semi")))
+
+
+ORACLES["mesh_tokens"] = ORACLES["mesh_tokens"].replace("FROM l GROUP BY mesh_id", "FROM l WHERE mesh_id IN (SELECT mesh_id FROM fs GROUP BY mesh_id HAVING count(*) <= 500) GROUP BY mesh_id")
+
+
+@query("clip_adjacent_views", "WITH t AS (SELECT page_id % 10 AS clip, page_id, lead(page_id) OVER (PARTITION BY page_id % 10 ORDER BY page_id) AS next_id FROM pages) SELECT * FROM t WHERE next_id IS NOT NULL")
+def clip_adjacent_views(spark, sf):
+    from pyspark.sql import Window
+
+    t = V.table(spark, sf, "pages").select((F.col("page_id") % 10).alias("clip"), "page_id")
+    return t.withColumn("next_id", F.lead("page_id").over(Window.partitionBy("clip").orderBy("page_id"))).where("next_id IS NOT NULL")
+
+
+@query("stride_sample", "SELECT event_id, event_id / 30.0::DOUBLE AS t_seconds FROM events WHERE (event_id - 3) % 25 = 0 AND event_id >= 3")
+def stride_sample(spark, sf):
+    return V.table(spark, sf, "events").where("event_id >= 3 AND pmod(event_id - 3, 25) = 0").select("event_id", (F.col("event_id") / F.lit(30.0)).alias("t_seconds"))
+
+
+@query("subset_union", "SELECT 'nations' AS subset, n_name AS name, 'Nations' AS category FROM nation UNION ALL SELECT 'regions', r_name, 'regions' FROM region")
+def subset_union(spark, sf):
+    n, r = V.table(spark, sf, "nation").select(F.col("n_name").alias("name")), V.table(spark, sf, "region").select(F.col("r_name").alias("name"))
+    return tables.union_subsets({"nations": n, "regions": r}, {"nations": "Nations"}).select("subset", "name", "category")
