@@ -186,7 +186,7 @@ def _window_keys(context: bytes, length: int) -> list[bytes]:
     return [hashlib.blake2b(context[i : i + length], digest_size=16).digest() for i in range(len(context) - length + 1)]
 
 
-def _marks(length: int):
+def _marks(length: int, most_contexts: int = MOST_CONTEXTS):
     """Sorted (gram, ctx, _id, _rk, start) to marks (_id, _rk, begin, end) and, of crowded anchors, windows (key)."""
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -237,7 +237,7 @@ def _marks(length: int):
                     else:
                         mine.append((c, first))
                         mine_held += len(c)
-                        if mine_held > MOST_CONTEXTS:
+                        if mine_held > most_contexts:
                             crowded = True
                             for m in mine:
                                 windows(*m)
