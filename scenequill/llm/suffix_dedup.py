@@ -5,12 +5,13 @@ whole corpus is built; equal strings are brought together first:
 
 1. Winnowing: of the K-byte grams of every ``length``-byte window the one with the least hash is the window's anchor. Equal
    windows have equal anchors at equal places, so a window can only repeat if its anchor does. One shuffle of anchor
-   hashes, streamed in sorted order, leaves the places of repeated anchors.
-2. Each such place sends its context, the bytes that windows with this anchor can cover, to the anchor's hash. Sorted by
+   hashes, streamed in sorted order, leaves the places of repeated anchors. Documents whose whole text came before go
+   whole and take no further part.
+2. Each such place sends its context, the bytes of the windows that it is the anchor of, to the anchor's hash. Sorted by
    (anchor, context, place), copies follow each other: all but the first of equal contexts are covered whole and stream
    through, so a passage of any number of copies takes no memory.
-3. Of the distinct contexts of an anchor a suffix array is built (linear grouping by Lyndon prefixes), in blocks of many
-   anchors. Neighbouring suffixes that agree on ``length`` bytes are one class, and all its members but the earliest mark
+3. Distinct contexts of an anchor are cut to the parts whose window hashes come twice, which loses no equal windows. Of
+   these a suffix array is built (linear grouping by Lyndon prefixes), in blocks of many anchors. Neighbouring suffixes that agree on ``length`` bytes are one class, and all its members but the earliest mark
    their bytes. An anchor with very many distinct contexts instead sends the hashes of its windows on to a second shuffle,
    where the earliest of each is found by a plain aggregation: no group has to fit into a task.
 4. Marks are united per document and the bytes that stay are hashed.
@@ -23,16 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import data, doc_id, documents, free_shuffles, keyed, offsets, partitions, python_ready, slices, stage
+from .common import data, doc_id, documents, free_shuffles, keyed, offsets, partitions, python_ready, ranges, slices, stage
 from .lyndon_suffix_array import suffix_array
 
 K = 32
 #: Bytes of contexts in a suffix array, and of one anchor's distinct contexts before they go on as window hashes.
 BLOCK, MOST_CONTEXTS = 1 << 17, 1 << 20
 CHUNK = 1 << 23  # of a very long text
+WHOLE = 1 << 62  # end of the span of a later copy
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
@@ -46,20 +49,23 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def anchors(b: np.ndarray, o: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors of the texts ``b[o[i]:o[i + 1]]``, ascending, and their hashes."""
+def anchors(b: np.ndarray, o: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts ``b[o[i]:o[i + 1]]``: places of the anchors, ascending, their hashes, and the starts of the first and
+    the last window that each is the anchor of (those between are, too)."""
+    none = np.zeros(0, np.int64)
     if len(b) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none, none.view(np.uint64), none, none
     if len(b) > CHUNK + 2 * length:
-        at, hs = [], []
-        for lo in range(0, len(b), CHUNK):
+        parts = []
+        for lo in range(0, len(b) - length + 1, CHUNK):
             hi = min(len(b), lo + CHUNK + length)
             inner = np.unique(np.clip(o, lo, hi)) - lo
-            p, h = anchors(b[lo:hi], inner, length) if hi - lo <= CHUNK + length else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-            at.append(p + lo)
-            hs.append(h)
-        at, first = np.unique(np.concatenate(at), return_index=True)
-        return at, np.concatenate(hs)[first]
+            p, h, first, last = anchors(b[lo:hi], inner, length)
+            parts.append((p + lo, h, first + lo, last + lo))
+        at, h, first, last = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(at, kind="stable")
+        begin = np.flatnonzero(np.diff(at[order], prepend=-1)) if len(at) else none
+        return at[order][begin], h[order][begin], np.minimum.reduceat(first[order], begin) if len(at) else none, np.maximum.reduceat(last[order], begin) if len(at) else none
     h = gram_hashes(b)
     w = length - K + 1
     # least (hash, place): the place breaks ties, leftmost first
@@ -75,9 +81,11 @@ def anchors(b: np.ndarray, o: np.ndarray, length: int) -> tuple[np.ndarray, np.n
     long = size >= length
     inside[o[:-1][long]] += 1
     inside[o[1:][long] - length + 1] -= 1
-    m = m[np.cumsum(inside)[: len(m)] > 0] & np.uint64((1 << 24) - 1)
-    at = np.unique(m.astype(np.int64))
-    return at, h[at]
+    start = np.flatnonzero(np.cumsum(inside)[: len(m)] > 0)
+    own = (m[start] & np.uint64((1 << 24) - 1)).astype(np.int64)
+    begin = np.flatnonzero(np.diff(own, prepend=-1))
+    at = own[begin]
+    return at, h[at], start[begin], start[np.append(begin[1:], len(own)) - 1] if len(own) else none
 
 
 def _docs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -86,65 +94,98 @@ def _docs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, n
         yield b, data(b.column("text"))[int(o[0]) : int(o[-1])], o - o[0]
 
 
+def _pack(pos: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Place of an anchor, how far before it its first window begins, and how many windows follow that one."""
+    return pos << 32 | before << 16 | more
+
+
 def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """_id, _rk, places array<long> of the anchors that come at two places at least."""
+    """_id, _rk, places array<long> (packed) of the anchors that come at two places at least. Of equal texts only the first
+    document counts."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raw, o in _docs(batches):
-            at, h = anchors(raw, o, length)
+            at, h, first, last = anchors(raw, o, length)
             doc = np.searchsorted(o, at, "right") - 1
             take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("_id").take(take), b.column("_rk").take(take), pa.array(at - o[doc])], ["h", "_id", "_rk", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("_id").take(take), b.column("_rk").take(take), pa.array(_pack(at - o[doc], at - first, last - first))], ["h", "_id", "_rk", "pos"])
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the last row so far: not yet given out, unless its hash came before
+        came = False
         for t in batches:
             if not t.num_rows:
                 continue
             if last is not None:
                 t = pa.Table.from_batches([last, t]).combine_chunks().to_batches()[0]
-            h = t.column("h").to_numpy()
+            h, r, p = (t.column(c).to_numpy() for c in ("h", "_rk", "pos"))
+            fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1]) | (p[1:] != p[:-1])])
+            if not fresh.all():  # the same place of an equal text
+                t, h = t.filter(pa.array(fresh)), h[fresh]
             again = np.concatenate([[False], h[1:] == h[:-1]])
-            held = bool(len(h) and last is not None and came)
+            held = last is not None and came
             keep = again.copy()
             keep[:-1] |= again[1:]
-            if last is not None and held:
+            if held:
                 keep[0] = False  # given out with its batch
             came = bool(again[-1]) or (held and len(h) == 1)
             # the last row goes out now if it repeats a former one, else it waits
-            out = keep.copy()
             if not again[-1]:
-                out[-1] = False
-            yield t.filter(pa.array(out)).select(["_id", "_rk", "pos"])
+                keep[-1] = False
+            yield t.filter(pa.array(keep)).select(["_id", "_rk", "pos"])
             last = t.slice(t.num_rows - 1)
 
     python_ready(docs.sparkSession)
-    found = keyed(docs).mapInArrow(find, "h long, _id long, _rk long, pos long").repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h")
+    found = keyed(docs).mapInArrow(find, "h long, _id long, _rk long, pos long").repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h", "_rk", "pos", "_id")
     places = stage(found.mapInArrow(repeated, "_id long, _rk long, pos long"), "repeated-anchors")
     free_shuffles(docs.sparkSession)
     return places.groupBy("_id", "_rk").agg(F.collect_list("pos").alias("places"))
 
 
+def _cut(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(raw[ranges(begin, size)])])
+
+
 def _contexts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            o = offsets(b.column("text"))
-            raw = data(b.column("text"))
-            ids, rks, places = b.column("_id").to_pylist(), b.column("_rk").to_pylist(), b.column("places")
-            for i in range(b.num_rows):
-                text = raw[o[i] : o[i + 1]]
-                at = np.unique(places[i].values.to_numpy())
-                for part in range(0, len(at), 4000):
-                    p = at[part : part + 4000]
-                    lo, hi = np.maximum(0, p + K - length), np.minimum(len(text), p + length)
-                    grams = pa.array([text[x : x + K].tobytes() for x in p], pa.binary())
-                    ctx = pa.array([text[x:y].tobytes() for x, y in zip(lo, hi, strict=True)], pa.binary())
-                    n = len(p)
-                    yield pa.RecordBatch.from_arrays([grams, ctx, pa.array([ids[i]] * n, pa.int64()), pa.array([rks[i]] * n, pa.int64()), pa.array(lo)], ["gram", "ctx", "_id", "_rk", "start"])
+        for b in slices(batches):
+            o, raw = offsets(b.column("text")), data(b.column("text"))
+            v = b.column("places").flatten().to_numpy()
+            doc = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column("places")).to_numpy())
+            for part in range(0, len(v), 4000):
+                d, x = doc[part : part + 4000], v[part : part + 4000]
+                at, before, size = x >> 32, x >> 16 & 65535, (x & 65535) + length
+                take = pa.array(d)
+                yield pa.RecordBatch.from_arrays(
+                    [_cut(raw, o[d] + at, np.full(len(d), K)), _cut(raw, o[d] + at - before, size), b.column("_id").take(take), b.column("_rk").take(take), pa.array(at - before)],
+                    ["gram", "ctx", "_id", "_rk", "start"],
+                )
 
     return run
 
 
+def shared_parts(raw: np.ndarray, begin: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which contexts ``raw[begin:begin + size]`` have a window whose hash comes twice, and the part of each from its first
+    such window to the end of its last: nothing outside these can repeat."""
+    h = gram_hashes(raw)
+    count = size - length + 1
+    start = ranges(begin, count)
+    w = np.zeros(len(start), np.uint64)
+    for j in {*range(0, length - K, K), length - K}:
+        w = w * np.uint64(0x9E3779B97F4A7C15) + h[start + j]
+    order = np.argsort(w)
+    same = w[order][1:] == w[order][:-1]
+    twice = np.zeros(len(w), bool)
+    twice[order[1:]] = same
+    twice[order[:-1]] |= same
+    hit = np.flatnonzero(twice)
+    which = np.repeat(np.arange(len(begin)), count)[hit]
+    edge = np.flatnonzero(np.diff(which, prepend=-1))
+    ends = np.append(edge[1:], len(which)) - 1
+    return (which[edge], start[hit[edge]], start[hit[ends]] + length) if len(hit) else (which, which, which)
+
+
 def class_marks(contexts: list[bytes], places: list[tuple[int, int, int]], length: int) -> list[tuple[int, int, int]]:
     """(context, begin, end): windows of the contexts (first found at ``places``: _id, _rk, start) that come earlier."""
     text = bytearray()
@@ -187,85 +228,109 @@ def _window_keys(context: bytes, length: int) -> list[bytes]:
 
 
 def _marks(length: int, most_contexts: int = MOST_CONTEXTS):
-    """Sorted (gram, ctx, _id, _rk, start) to marks (_id, _rk, begin, end) and, of crowded anchors, windows (key)."""
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], ["_id", "_rk", "begin", "end", "key"])
+    """Sorted (key, ctx, _id, _rk, start) to marks (_id, _rk, begin, end) and, of crowded anchors, windows (digest)."""
+
+    def out(cols: list, digests: list | None = None) -> pa.RecordBatch:
+        arrays = [pa.array(c, pa.int64()) for c in cols]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(digests, pa.binary()) if digests else pa.nulls(len(arrays[0]), pa.binary())], ["_id", "_rk", "begin", "end", "digest"])
+
+    def windows(t: pa.Table | pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for c, i, r, s in zip(*(t.column(x).to_pylist() for x in ("ctx", "_id", "_rk", "start")), strict=True):
+            keys = _window_keys(c, length)
+            n = len(keys)
+            yield out([[i] * n, [r] * n, range(s, s + n), range(s + length, s + length + n)], keys)
+
+    def of_block(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = t.column("key").to_numpy()
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(begin, len(key)))
+        ctx = t.column("ctx").combine_chunks()
+        o = offsets(ctx)
+        held = o[np.append(begin[1:], len(key))] - o[begin]
+        many = np.repeat(held > most_contexts, size)
+        if many.any():
+            yield from windows(t.filter(pa.array(many)))
+        some = np.flatnonzero(np.repeat(size > 1, size) & ~many)
+        if not len(some):
+            return
+        raw = data(ctx)
+        which, x, y = shared_parts(raw, o[:-1][some], np.diff(o)[some], length)
+        if not len(which):
+            return
+        at = some[which]
+        i, r, s = (t.column(c).to_numpy()[at] for c in ("_id", "_rk", "start"))
+        s = s + x - o[at]
+        hits = class_marks([raw[u:v].tobytes() for u, v in zip(x, y, strict=True)], list(zip(i.tolist(), r.tolist(), s.tolist(), strict=True)), length)
+        if hits:
+            c, u, v = np.array(hits, np.int64).T
+            yield out([i[c], r[c], s[c] + u, s[c] + v])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram = ctx = first = None
-        crowded = False
-        mine: list = []  # distinct contexts of this anchor, and their first places
-        block: list = []
-        held = mine_held = 0
-        rows: list[tuple] = []
-
-        def sort_block() -> None:
-            nonlocal block, held
-            if block:
-                for c, x, y in class_marks([b[0] for b in block], [b[1] for b in block], length):
-                    i, r, s = block[c][1]
-                    rows.append((i, r, s + x, s + y, None))
-            block, held = [], 0
-
-        def windows(c: bytes, place: tuple) -> None:
-            i, r, s = place
-            rows.extend((i, r, s + j, s + j + length, key) for j, key in enumerate(_window_keys(c, length)))
-
-        def close() -> None:
-            nonlocal mine, held, crowded, mine_held
-            if not crowded and len(mine) > 1:
-                block.extend(mine)
-                held += mine_held
-                if held >= BLOCK:
-                    sort_block()
-            mine, mine_held, crowded = [], 0, False
-
+        last = None  # key and context of the last row
+        crowded = None  # the anchor whose contexts are passed on as windows
+        pending: list[pa.RecordBatch] = []
+        held = 0
         for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("gram", "ctx", "_id", "_rk", "start")]
-            for g, c, i, r, s in zip(*cols, strict=True):
-                if g != gram:
-                    close()
-                    gram, ctx = g, None
-                if c != ctx:
-                    ctx, first = c, (i, r, s)
-                    if len(c) < length:
-                        continue
-                    if crowded:
-                        windows(c, first)
-                    else:
-                        mine.append((c, first))
-                        mine_held += len(c)
-                        if mine_held > most_contexts:
-                            crowded = True
-                            for m in mine:
-                                windows(*m)
-                            mine = []
-                elif len(c) >= length and (i, r, s) != first:
-                    rows.append((i, r, s, s + len(c), None))
-                if len(rows) > 5000:
-                    yield out(rows)
-                    rows.clear()
-        close()
-        sort_block()
-        yield out(rows)
+            if not b.num_rows:
+                continue
+            key, ctx = b.column("key").to_numpy(), b.column("ctx")
+            new = np.ones(b.num_rows, bool)
+            new[1:] = (key[1:] != key[:-1]) | ~pc.equal(ctx[1:], ctx[:-1]).to_numpy(zero_copy_only=False)
+            new[0] = last is None or key[0] != last[0] or ctx[0].as_py() != last[1]
+            last = key[-1], ctx[-1].as_py()
+            if not new.all():  # an equal context comes before: the whole of it goes
+                i, r, s = (b.column(c).to_numpy()[~new] for c in ("_id", "_rk", "start"))
+                yield out([i, r, s, s + np.diff(offsets(ctx))[~new]])
+            b = b.filter(pa.array(new))
+            if crowded is not None:
+                more = int((b.column("key").to_numpy() == crowded).sum())
+                yield from windows(b.slice(0, more))
+                b = b.slice(more)
+                if b.num_rows:
+                    crowded = None
+            pending.append(b)
+            o = offsets(b.column("ctx"))
+            held += int(o[-1] - o[0])
+            if held >= BLOCK:
+                t = pa.Table.from_batches(pending).combine_chunks()
+                key = t.column("key").to_numpy()
+                cut = int(np.argmax(key == key[-1]))
+                if cut:
+                    yield from of_block(t.slice(0, cut).combine_chunks())
+                t = t.slice(cut).combine_chunks()
+                if t.column("ctx").nbytes > most_contexts:
+                    yield from windows(t)
+                    crowded, t = int(key[-1]), t.slice(0, 0)
+                pending, held = t.to_batches(), 0
+        if pending and (t := pa.Table.from_batches(pending).combine_chunks()).num_rows:
+            yield from of_block(t)
 
     return run
 
 
+def later_copies(docs: DataFrame) -> DataFrame:
+    """_id, _rk of the documents whose whole text an earlier document has. Digests are shuffled, no texts; both sides of the
+    join are shuffled, so that adaptive execution can split a group of very many copies."""
+    own = keyed(docs).select("_id", "_rk", F.xxhash64(F.lit(11), "text").alias("h2"), F.octet_length("text").alias("n"))
+    first = own.groupBy("_rk", "h2", "n").agg(F.min("_id").alias("first"), F.count("*").alias("m")).where("m > 1")
+    own = stage(own, "text-digests")
+    return own.join(stage(first, "first-copies"), ["_rk", "h2", "n"]).where("_id <> first").select("_id", "_rk")
+
+
 def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     """_id, _rk, spans array<struct<b,e>>: byte ranges that go, not yet united."""
     spark = docs.sparkSession
     places = repeated_anchors(docs, length)
     ctx = keyed(docs).join(places.hint("merge"), ["_id", "_rk"]).select("_id", "_rk", "text", "places").mapInArrow(_contexts(length), "gram binary, ctx binary, _id long, _rk long, start long")
-    ordered = ctx.repartition(partitions(spark), F.xxhash64("gram")).sortWithinPartitions("gram", "ctx", "_id", "_rk", "start")
-    marks = stage(ordered.mapInArrow(_marks(length), "_id long, _rk long, begin long, end long, key binary"), "repeat-marks")
+    ctx = ctx.select(F.xxhash64("gram").alias("key"), "ctx", "_id", "_rk", "start")
+    ordered = ctx.repartition(partitions(spark), "key").sortWithinPartitions("key", "ctx", "_id", "_rk", "start")
+    marks = stage(ordered.mapInArrow(_marks(length), "_id long, _rk long, begin long, end long, digest binary"), "repeat-marks")
     free_shuffles(spark)
-    windows = marks.where("key IS NOT NULL")
-    least = windows.groupBy("key").agg(F.min(F.struct("_id", "_rk", "begin")).alias("top"))
-    later = windows.join(least, "key").where(F.struct("_id", "_rk", "begin") != F.col("top")).select("_id", "_rk", "begin", "end")
-    spans = marks.where("key IS NULL").select("_id", "_rk", "begin", "end").union(later)
+    windows = marks.where("digest IS NOT NULL")
+    least = windows.groupBy("digest").agg(F.min(F.struct("_id", "_rk", "begin")).alias("top"))
+    later = windows.join(least, "digest").where(F.struct("_id", "_rk", "begin") != F.col("top")).select("_id", "_rk", "begin", "end")
+    copies = later_copies(docs).select("_id", "_rk", F.lit(0).cast("long").alias("begin"), F.lit(WHOLE).cast("long").alias("end"))
+    spans = marks.where("digest IS NULL").select("_id", "_rk", "begin", "end").union(later).union(copies)
     return spans.groupBy("_id", "_rk").agg(F.collect_set(F.struct(F.col("begin").alias("b"), F.col("end").alias("e"))).alias("spans"))
 
 
@@ -279,6 +344,11 @@ def united(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def whole(spans: list[tuple[int, int]], n: int, length: int) -> list[tuple[int, int]]:
+    """The spans within a text of n bytes; that of a later copy covers all of it, or nothing of a text under ``length``."""
+    return [(b, min(e, n)) for b, e in spans] if n >= length else []
+
+
 def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     """One row per row: _id, n_bytes, n_removed, spans (maximal removed byte ranges, flat: begin, end, ...), kept (the bytes
     that stay, perhaps cut within a character). Rows that repeat doc_id and text are one document, so each keeps what it
@@ -287,7 +357,7 @@ def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = b.column("text").cast(pa.binary()).to_pylist()
-            spans = [united(s or []) for s in b.column("spans").to_pylist()]
+            spans = [whole(united(s or []), len(t), length) for s, t in zip(b.column("spans").to_pylist(), texts, strict=True)]
             kept = []
             for t, sp in zip(texts, spans, strict=True):
                 edges = [0, *(x for s in sp for x in s), len(t)]
