@@ -294,3 +294,79 @@ def test_pipeline(spark, sf_dir):
     packed = cp.run(spark, sf_dir)
     spread = packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n < 2048").count()
     assert spread <= 1
+
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_pieces_hold_the_ids_of_whole_texts(spark, sf, rows):
+    tok = tokens.encoder(tokens.vocabulary("byte_bpe_50k.json")).tokenizer
+    texts = collections.defaultdict(list)
+    for r in rows:
+        texts[r[0]].append([*tok.encode(r[1] or "", add_special_tokens=False).ids, 1])
+    left = collections.Counter({i: sum(map(len, t)) for i, t in texts.items()})
+    for r in packing.op4_packing(spark, sf).collect():
+        own = [t for t in texts[r["doc_id"]] if len(t) == r["doc_tokens"]]
+        assert any(crc(t[r["start"] : r["start"] + r["length"]]) == r["ids_crc32"] for t in own)
+        left[r["doc_id"]] -= r["length"]
+    assert not any(left.values())
+
+
+def test_token_files_hold_the_ids_of_whole_texts(spark, sf, rows):
+    tok = tokens.encoder(tokens.vocabulary("word_bpe_49k.json")).tokenizer
+    want = collections.Counter()
+    for r in rows:
+        ids = [*tok.encode(r[1] or "", add_special_tokens=False).ids, 1]
+        want[r[0], len(ids), crc(ids)] += 1
+    out = sorted(token_files.op9_token_files(spark, sf).collect(), key=lambda r: r["start"])
+    assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in out) == want
+    at = 0
+    for r in out:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in out]
+    assert ids == sorted(ids)
+
+
+def test_fingerprints(spark, sf, rows):
+    from xxhash import xxh64_intdigest
+
+    want = collections.Counter()
+    for r in rows:
+        w = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or ""))
+        h = [xxh64_intdigest(" ".join(s).encode(), 42) for s in (zip(w, w[1:], w[2:]) if len(w) > 2 else [w] if w else [])]
+        want[r[0], f"{sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)):016x}"] += 1
+    got = simhash.op5_simhash_near_dedup(spark, sf).collect()
+    assert collections.Counter((r["doc_id"], r["fingerprint"]) for r in got) == want
+
+
+def test_quality_contract(spark, sf, rows):
+    want = collections.Counter()
+    for r in rows:
+        t = r[1] or ""
+        w = WORDS.findall(t)
+        lines = [x for x in t.split("\n") if WORDS.search(x)]
+        c = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        rep = len({j + k for j in range(len(w) - 2) if c[tuple(w[j : j + 3])] > 1 for k in range(3)})
+        base = len(w) < 50 or 100 * rep > 50 * len(w)
+        want[r[0], len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), rep, base] += 1
+    got = suffix_rules.op7_quality_rules(spark, sf).collect()
+    assert collections.Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) for r in got) == want
+    assert not any(r["base_failed"] and r["kept"] for r in got)
+
+
+def test_edited_counts(spark, sf, rows):
+    tok = tokens.encoder(tokens.vocabulary("byte_bpe_50k.json")).tokenizer
+    count = lambda t: len(tok.encode(t, add_special_tokens=False).ids)
+    want = collections.Counter()
+    for r in rows:
+        b = t = (r[1] or "").encode()
+        for x, y, new in token_counts.mask_edits(t):
+            b = b[:x] + new + b[y:]
+        want[r[0], count(t.decode()), count(b.decode())] += 1
+    got = token_counts.op10_token_counts(spark, sf).collect()
+    assert collections.Counter((r["doc_id"], r["n_tokens"], r["n_tokens_edited"]) for r in got) == want
