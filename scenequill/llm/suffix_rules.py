@@ -27,8 +27,9 @@ _LATER = np.zeros(256, bool)
 _LATER[0x80:0xC0] = True
 
 #: Production thresholds: a repeat counts from so many words; a document goes if repeats cover more than this share of its
-#: words, or if its longest repeat is longer than this share of them.
-MIN_WORDS, MOST_COVERED, MOST_LONGEST = 10, 0.5, 0.35
+#: words, or if its longest repeat is longer than this share of them. Both lie below what the base rule leaves: words in
+#: repeats are words in 3-word windows that come twice, so at half the words no document would go that base passes.
+MIN_WORDS, MOST_COVERED, MOST_LONGEST = 10, 0.2, 0.1
 
 
 def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +190,7 @@ def quality(docs: DataFrame, most_covered: float = MOST_COVERED, most_longest: f
     """One row per document: _id, _rk, the counts, base_failed and kept. One pass over the texts, no shuffle.
 
     base_failed: under 50 words, or more than half of them in 3-word windows that come twice. kept: not base_failed, and
-    repeats of at least 10 words cover at most 50 % of the words, the longest at most 35 %. A null or empty text has no
+    repeats of at least 10 words cover at most 20 % of the words, the longest at most 10 %. A null or empty text has no
     words and fails; repeated rows give the same row each."""
     python_ready(docs.sparkSession)
     f = keyed(docs).select("_id", "_rk", "text").mapInArrow(_score, SCHEMA)

@@ -189,6 +189,24 @@ def test_quality_counts(spark, docs, rows):
     assert suffix_rules.quality_filter(docs).count() == kept
 
 
+def test_repeats_reject_what_base_passes(spark):
+    new = (f"w{i}" for i in range(10**6))
+    text = lambda *parts: " ".join(x for p in parts for x in (p if isinstance(p, list) else [next(new) for _ in range(p)]))
+    a, b, c = ([next(new) for _ in range(n)] for n in (45, 12, 9))
+    texts = {
+        1: text(100),
+        2: text(20, a, 100, a, 20),  # 90 of 230 words in a repeat of 45: covered and longest
+        3: text(b, 20, b, 20, b, 20, b, 60),  # 48 of 168 words, the longest 12: covered alone
+        4: text(a, 200, a, 160),  # 90 of 450 words, the longest 45: at the limits
+        5: text(a, 200, a, 140),  # 90 of 430 words, the longest 45: over both
+        6: text(c, 20, c, 20, c, 20),  # under ten words
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["_id"]: (r["base_failed"], r["kept"]) for r in suffix_rules.quality(docs).collect()}
+    assert got == {1: (False, True), 2: (False, False), 3: (False, False), 4: (False, True), 5: (False, False), 6: (False, True)}
+    assert {r["doc_id"] for r in suffix_rules.quality_filter(docs).collect()} == {1, 4, 6}
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_units_encode_like_whole_texts(rows, name):
     random.seed(3)
