@@ -108,6 +108,12 @@ def nearest_cloud_distance(spark, sf):
     return G.nearest_distances(p, chosen).select("scene_id", "a_object_id", "b_object_id", *[F.round(c, 6).alias(c) for c in ("mean", "least", "greatest")])
 
 
+@query("nearest_cloud_distances")
+def nearest_cloud_distances(spark, sf):
+    chosen = V.pairs(spark, sf).select("scene_id", "a_object_id", "b_object_id")
+    return G.nearest_distances(V.points(spark, sf), chosen).select("scene_id", "a_object_id", "b_object_id", *[F.round(c, 6).alias(c) for c in ("mean", "least", "greatest")])
+
+
 @query("oriented_saving")
 def oriented_saving(spark, sf):
     return G.oriented_volume(V.points(spark, sf)).select("scene_id", "object_id", *[F.round(c, 4).alias(c) for c in ("oriented_volume", "aligned_volume", "saving")])

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from scenequill.functions import geometry as G
 from scenequill.functions import text as T
 from scenequill.operators import curate, dialogue, meshes, reports
+from scenequill.plans import registry
+from scenequill.plans import views as V
 from scenequill.sources import tables
 from scenequill.streaming import traces
 
@@ -73,6 +75,21 @@ def test_nearest_distances(spark):
     assert (r["mean"], r["least"], r["greatest"]) == pytest.approx((d.mean(), d.min(), d.max()))
 
 
+def test_nearest_distances_of_all_pairs(spark, sf_dir):
+    p = V.points(spark, sf_dir).toPandas()
+    clouds = {k: g[["x", "y", "z"]].to_numpy(float) for k, g in p.groupby(["scene_id", "object_id"])}
+    want = {}
+    for (s, a), x in clouds.items():
+        for (t, b), y in clouds.items():
+            if s == t and a != b:
+                d = np.sqrt(((x[:, None] - y[None]) ** 2).sum(2)).min(1)
+                want[s, a, b] = d.mean(), d.min(), d.max()
+    got = {(r["scene_id"], r["a_object_id"], r["b_object_id"]): (r["mean"], r["least"], r["greatest"]) for r in registry.QUERIES["nearest_cloud_distances"](spark, sf_dir).collect()}
+    assert got.keys() == want.keys() and len(got) > len(clouds)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-6)
+
+
 def test_farthest_points(spark):
     e = spark.createDataFrame([(0, [0.0]), (1, [1.0]), (2, [2.0]), (3, [10.0])], "vec_id long, embedding array<double>")
     assert [r["vec_id"] for r in curate.farthest_points(e, 3).orderBy("rank").collect()] == [0, 3, 2]
