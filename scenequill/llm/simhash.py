@@ -211,33 +211,198 @@ def op5_simhash_near_dedup(spark, sf_dir) -> DataFrame:
 
 # --- as a stage ---
 
-TABLES = 4
+#: A pair of near copies has at least this Jaccard similarity (numerator, denominator) of its sets of SHINGLE-word runs.
+SHINGLE, ALIKE = 5, (4, 5)
+#: Fingerprints whose 16-bit bands make candidates, and further ones, of which candidates may differ in at most NEAR bits
+#: (at similarity 0.8 about 19 of 128 differ). Runs of up to FEW compare all pairs at once.
+TABLES, CHECKS, NEAR, FEW, BLOCK = 16, 2, 32, 16, 4096
 
 
-def table_fingerprints(text: bytes, tables: int = TABLES) -> list[int]:
-    """The contract's fingerprint and further ones, from the same 3-word shingle hashes scrambled anew for each table."""
-    h = np.array(shingle_hashes(text.lower().split(), 3), np.uint64)
-    out = [fingerprint(h)]
-    for k in range(1, tables):
-        x = h * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
+def shingle_set(text: bytes) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text.lower().split(), SHINGLE), np.uint64))
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return ALIKE[1] * both >= ALIKE[0] * (len(a) + len(b) - both)
+
+
+def table_fingerprints(text: bytes, tables: int = TABLES + CHECKS) -> list[int]:
+    """Fingerprints of the set of shingles, whose hashes are scrambled anew for each table."""
+    h = shingle_set(text)
+    if not len(h):
+        return [0] * tables
+    ones = np.zeros(64 * tables, np.int64)
+    by = (np.arange(tables, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+    for i in range(0, len(h), 255):  # so many fit a byte's count
+        x = h[i : i + 255, None] * by
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
-        out.append(fingerprint(x ^ (x >> np.uint64(32))))
-    return out
+        x ^= x >> np.uint64(32)
+        x *= by
+        x ^= x >> np.uint64(31)
+        ones += np.add.reduce(np.unpackbits(x.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(h), bitorder="little").view("<i8").tolist()
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, fps, label to a row for each 16-bit band: key, node, two check fingerprints, label."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        fps = np.array(b.column("fps").to_pylist(), np.int64)
+        values = np.ascontiguousarray(fps[:, :-CHECKS]).view(np.uint16).astype(np.int64)
+        n = values.shape[1]
+        key = (np.arange(n) << 16) + values
+        out = [key.ravel(), *(np.repeat(x, n) for x in (b.column("node").to_numpy(), fps[:, -2], fps[:, -1], b.column("label").to_numpy()))]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["key", "node", "c0", "c1", "label"])
+
+
+def _differ(c0: np.ndarray, c1: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> np.ndarray:
+    return _popcount(c0 ^ d0) + _popcount(c1 ^ d1)
+
+
+def _centre(c: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(c.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1)
+    return np.packbits(2 * bits.sum(0, dtype=np.int64) > len(c)).view("<i8")
+
+
+def _tree(node: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the candidates of a long run. Members nearest to the run's centre are roots first: a text that the
+    others were made from is likelier to be alike to them than they are to one another."""
+    if len(node) <= BLOCK:
+        busy = np.concatenate([(_differ(c0[i : i + 256, None], c1[i : i + 256, None], c0, c1) <= NEAR).sum(1) > 1 for i in range(0, len(node), 256)])
+        node, c0, c1 = node[busy], c0[busy], c1[busy]
+    if not len(node):
+        return node, node
+    order = np.argsort(_differ(c0, c1, _centre(c0), _centre(c1)), kind="stable")
+    node, c0, c1 = node[order], c0[order], c1[order]
+    us, vs, todo = [], [], np.ones(len(node), bool)
+    for root in range(len(node)):
+        if not todo[root]:
+            continue
+        todo[root], front = False, [root]
+        while front and todo.any():
+            i = front.pop(0)
+            rest = np.flatnonzero(todo)
+            near = rest[_differ(c0[rest], c1[rest], c0[i], c1[i]) <= NEAR]
+            todo[near] = False
+            us.append(np.full(len(near), node[i]))
+            vs.append(node[near])
+            front += near.tolist()
+    return (np.concatenate(us), np.concatenate(vs)) if us else (node[:0], node[:0])
+
+
+def _candidates(across: bool) -> Callable:
+    """Rows sorted by key to candidates u, v, long: all pairs of a short run, a spanning forest of a long one; with
+    ``across`` all pairs whose labels differ."""
+
+    def emit(u: np.ndarray, v: np.ndarray, long: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(np.full(len(u), int(long), np.int64))], ["u", "v", "long"])
+
+    def runs_of(key: np.ndarray, node: np.ndarray, c0: np.ndarray, c1: np.ndarray, label: np.ndarray) -> Iterator[pa.RecordBatch]:
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(begin, len(key)))
+        keep = np.repeat((size > 1) & (size <= FEW), size)
+        k, n, x, y, t = (c[keep] for c in (key, node, c0, c1, label))
+        for d in range(1, FEW):
+            same = np.flatnonzero(k[d:] == k[:-d])
+            if not len(same):
+                break
+            near = same[(_differ(x[same], y[same], x[same + d], y[same + d]) <= NEAR) & (not across or t[same] != t[same + d])]
+            if len(near):
+                yield emit(n[near], n[near + d], False)
+        for i in np.flatnonzero(size > FEW):
+            s = slice(begin[i], begin[i] + size[i])
+            n, x, y, t = node[s], c0[s], c1[s], label[s]
+            if not across:
+                u, v = _tree(n, x, y)
+                if len(u):
+                    yield emit(u, v, True)
+            elif (t != t[0]).any():
+                step = max(1, (1 << 20) // len(n))
+                for j in range(0, len(n), step):
+                    r, c = np.nonzero((_differ(x[j : j + step, None], y[j : j + step, None], x, y) <= NEAR) & (t[j : j + step, None] < t))
+                    if len(r):
+                        yield emit(n[j + r], n[c], True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "node", "c0", "c1", "label")
+        held: list[list[np.ndarray]] = []  # rows that may belong to a run which goes on
+        for b in batches:
+            cols = [b.column(c).to_numpy() for c in names]
+            if not len(cols[0]):
+                continue
+            if cols[0][-1] != (held[0][0][0] if held else cols[0][0]) or not held and cols[0][-1] != cols[0][0]:
+                cut = int(np.searchsorted(cols[0], cols[0][-1]))
+                yield from runs_of(*(np.concatenate([*(h[i] for h in held), c[:cut]]) for i, c in enumerate(cols)))
+                held, cols = [], [c[cut:] for c in cols]
+            held.append(cols)
+        if held:
+            yield from runs_of(*(np.concatenate([h[i] for h in held]) for i in range(len(names))))
+
+    return run
+
+
+def _found(nodes: DataFrame, across: bool, name: str) -> DataFrame:
+    """Staged, distinct candidates u, v, long of ``nodes`` (node, fps, label)."""
+    spark = nodes.sparkSession
+    rows = nodes.mapInArrow(_bands, "key long, node long, c0 long, c1 long, label long")
+    rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key")
+    return stage(rows.mapInArrow(_candidates(across), "u long, v long, long long").groupBy("u", "v").agg(F.max("long").alias("long")), name)
+
+
+def _verified(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """Staged candidates u, v with ``ok``: whether their texts are alike. ``nodes``: node, _id, _rk."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            own = [shingle_set(t).tobytes() for t in b.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(own, pa.binary())], ["node", "own"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, z = (b.column(c).to_pylist() for c in ("a", "z"))
+            ok = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, z, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v"), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
+
+    ids = candidates.select(F.col("u").alias("node")).union(candidates.select("v")).distinct()
+    texts = keyed(docs).join(ids.join(nodes, "node"), ["_id", "_rk"]).select("node", "text").dropDuplicates(["node"])
+    own = stage(texts.mapInArrow(sets, "node long, own binary"), f"{name}-sets")
+    a, z = own.select(F.col("node").alias("u"), F.col("own").alias("a")), own.select(F.col("node").alias("v"), F.col("own").alias("z"))
+    return stage(candidates.join(a, "u").join(z, "v").select("u", "v", "a", "z").mapInArrow(judge, "u long, v long, ok boolean"), name)
+
+
+def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``nodes`` (node, fps, _id, _rk) to links u, v that connect what candidates of at least ALIKE connect.
+
+    Long runs first give a spanning forest, whose links are verified; then, among the nodes of such forests, all pairs that
+    these links have not connected. So a large group of close copies costs what it has members."""
+    first = _found(nodes.select("node", "fps", F.lit(0).cast("long").alias("label")), False, "near-candidates")
+    judged = _verified(first.select("u", "v"), nodes.select("node", "_id", "_rk"), docs, "near-judged")
+    links = judged.where("ok").select("u", "v")
+    failed = first.where("long = 1").join(judged.where("NOT ok"), ["u", "v"])
+    if not failed.take(1):
+        return links
+    forest = first.where("long = 1")
+    of = forest.select(F.col("u").alias("node")).union(forest.select("v")).distinct()
+    labels = of.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("label"))
+    more = _found(nodes.select("node", "fps").join(labels, "node").select("node", "fps", "label"), True, "near-across")
+    more = more.select("u", "v").join(judged, ["u", "v"], "left_anti")
+    return links.union(_verified(more, nodes.select("node", "_id", "_rk"), docs, "near-across-judged").where("ok").select("u", "v"))
 
 
 def near_dedup(docs: DataFrame, tables: int = TABLES) -> DataFrame:
     """The rows of ``docs`` that stay, all their columns: of each group of near copies the one with the smallest doc_id.
 
-    Texts are linked when they are within three bits in one of ``tables`` fingerprints of their 3-word shingles, the first
-    of which is the operator's own; more tables find more of the pairs at the edge of similarity. Texts without words are
-    alike, and repeated rows are copies."""
+    Texts are linked when at least 0.8 of their five-word shingles, as sets, agree. Candidates are texts that share one of the
+    four bands of one of ``tables`` fingerprints; each is verified. Texts without words are alike, and repeated rows are copies."""
     spark = docs.sparkSession
-    rows = by_text(docs, lambda t: table_fingerprints(t, tables)).withColumn("node", F.monotonically_increasing_id())
+    rows = by_text(docs, lambda t: table_fingerprints(t, tables + CHECKS)).withColumn("node", F.monotonically_increasing_id())
     rows = stage(rows, "table-simhash")
     # equal in all tables: one node for the lot
-    same = rows.groupBy("fps").agg(F.min("node").alias("node"), F.min(F.struct("_id", "_rk", "node")).alias("top"))
-    roots = components(links(same.select("node", F.posexplode("fps").alias("tab", "fp"))))
+    same = rows.groupBy("fps").agg(F.min(F.struct("_id", "_rk", "node")).alias("top")).withColumn("node", F.col("top.node"))
+    roots = components(near_links(same.select("node", "fps", "top._id", "top._rk"), docs))
     linked = same.join(roots, "node", "left").select("fps", "top", F.coalesce("root", "node").alias("root"))
     stay = linked.groupBy("root").agg(F.min("top").alias("first")).select(F.col("first._id").alias("__id"), F.col("first._rk").alias("__rk"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))

@@ -159,6 +159,70 @@ def test_near_dedup_keeps_one_of_each_text(spark, docs):
     assert len(kept) == len(set(kept))
 
 
+def five_word_sets(texts):
+    w = {i: (t or "").lower().split() for i, t in texts.items()}
+    return {i: {tuple(x[j : j + 5]) for j in range(max(1, len(x) - 4))} for i, x in w.items()}
+
+
+def near_copy_groups(texts):
+    """The smallest id of each text's group, by Jaccard similarity of all pairs."""
+    s = five_word_sets(texts)
+    root = {i: i for i in s}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(s):
+        for j in sorted(s):
+            if i < j and 5 * len(s[i] & s[j]) >= 4 * len(s[i] | s[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return {i: top(i) for i in s}
+
+
+def edited(words, n, rng):
+    out = list(words)
+    for i in rng.sample(range(len(out)), n):
+        out[i] = f"new{rng.random()}"
+    return out
+
+
+def test_near_dedup_finds_pairs_at_the_edge(spark):
+    rng = random.Random(7)
+    texts, similar = {}, {}
+    for i in range(400):
+        w = [f"v{rng.randrange(5000)}" for _ in range(rng.randint(150, 400))]
+        texts[2 * i], texts[2 * i + 1] = " ".join(w), " ".join(edited(w, round(len(w) * rng.uniform(0.004, 0.04)), rng))
+    s = five_word_sets(texts)
+    for i in range(400):
+        similar[i] = len(s[2 * i] & s[2 * i + 1]) / len(s[2 * i] | s[2 * i + 1])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.near_dedup(docs).collect()}
+    assert kept >= {2 * i for i in range(400)} | {2 * i + 1 for i in range(400) if similar[i] < 0.8}
+    for low, high, least in ((0.8, 0.85, 0.95), (0.85, 0.9, 0.97), (0.9, 1, 0.99)):
+        pairs = [i for i in range(400) if low <= similar[i] < high]
+        recall = sum(2 * i + 1 not in kept for i in pairs) / len(pairs)
+        print(f"recall at {low} to {high}: {recall:.3f} of {len(pairs)} pairs")
+        assert recall >= least
+
+
+def test_near_dedup_of_large_groups(spark):
+    rng = random.Random(8)
+    base = [f"v{rng.randrange(5000)}" for _ in range(300)]
+    texts = {0: " ".join(edited(base, 30, rng)), 1: " ".join(base)}
+    for i in range(2, 90):
+        texts[i] = " ".join(edited(base, 3 if i % 3 else 6, rng))  # the 6s are alike to base, not to one another
+    for i in range(90, 150):
+        texts[i] = " ".join(edited(base, 16, rng))  # alike to nothing
+    texts[150] = " ".join(base[:250])
+    want = set(near_copy_groups(texts).values())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.near_dedup(docs).collect()} == want
+    assert len(want) == 62
+
+
 def test_mixing_targets(spark, docs):
     out = mixing.mix_plan(docs).collect()
     total = sum(r["size"] for r in out)
