@@ -452,3 +452,75 @@ def test_edited_counts(spark, sf, rows):
         want[r[0], count(t.decode()), count(b.decode())] += 1
     got = token_counts.op10_token_counts(spark, sf).collect()
     assert collections.Counter((r["doc_id"], r["n_tokens"], r["n_tokens_edited"]) for r in got) == want
+
+
+def brute_force_quality(t):
+    w = WORDS.findall(t or "")
+    n = len(w)
+
+    def hit(k):
+        c = collections.Counter(tuple(w[j : j + k]) for j in range(n - k + 1))
+        return {j + i for j in range(n - k + 1) if c[tuple(w[j : j + k])] > 1 for i in range(k)}
+
+    longest = 9  # what repeats at k words repeats at fewer
+    while hit(longest + 1):
+        longest += 1
+    longest = longest if longest > 9 else 0
+    return n >= 50 and 2 * len(hit(3)) <= n and len(hit(10)) <= 0.2 * n and longest <= 0.1 * n
+
+
+def test_pipeline_rows_against_brute_force(spark, tmp_path):
+    import duckdb
+
+    import corpus_pipeline as cp
+
+    rng = random.Random(11)
+    words = lambda n: [f"v{rng.randrange(4000)}" for _ in range(n)]
+    texts = {i: words(rng.randint(60, 500)) for i in range(100)}
+    for i in range(100, 120):
+        texts[i] = texts[i - 100]  # equal texts: the larger doc_id stays
+    for i in range(120, 160):
+        texts[i] = edited(texts[20 + i % 20], 1 if i % 2 else 2, rng)  # near copies, or not quite, of 20 to 39
+    for i in range(160, 170):
+        texts[i] = words(30)  # too few words
+        texts[i + 10] = 5 * words(30)  # base rejects
+        part = words(40)
+        texts[i + 20] = words(10) + part + words(120) + part + words(10)  # the suffix array rejects
+    texts[190] = words(6000)  # more than a window
+    rows = [(i, " ".join(t) if i != 101 else " ".join(t).upper(), "en", ("a", "b", "c", None)[i % 4], 1) for i, t in texts.items()] + [(191, None, "en", "a", 1), (192, "", "en", "a", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+
+    kept = {r[0]: r for r in rows if brute_force_quality(r[1])}
+    assert not kept.keys() & set(range(160, 190)) and len(kept) == 161
+    by_text = {}
+    for i, r in sorted(kept.items()):
+        by_text[r[1].lower()] = i
+    kept = {i: kept[i] for i in by_text.values()}
+    assert len(kept) == 141
+    root = near_copy_groups({i: r[1] for i, r in kept.items()})
+    kept = {i: kept[i] for i in set(root.values())}
+    assert 101 < len(kept) < 141
+    spark.createDataFrame(list(kept.values()), "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/near.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/near.parquet/*.parquet')")
+    copies = {i: taken // size for i, size, _, _, taken in con.execute(mixing.OP6_SQL).fetchall()}
+    assert set(copies.values()) == {0, 1, 2}
+
+    tok = tokens.encoder(tokens.vocabulary("byte_bpe_50k.json")).tokenizer
+    ids = {i: [*tok.encode(r[1], add_special_tokens=False).ids, 1] for i, r in kept.items()}
+    seen = {i: np.zeros(len(x), int) for i, x in ids.items()}
+    sequences = collections.defaultdict(list)
+    for r in cp.run(spark, str(tmp_path)).collect():
+        own, at = ids[r["doc_id"]], slice(r["start"], r["start"] + r["length"])
+        assert r["doc_tokens"] == len(own) and r["ids_crc32"] == crc(own[at])
+        seen[r["doc_id"]][at] += 1
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert all((n == copies[i]).all() for i, n in seen.items())
+    full = []
+    for s in sequences.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        full.append(at)
+    assert max(full) <= 2048 and sum(n < 2048 for n in full) <= 1
