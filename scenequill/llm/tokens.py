@@ -9,11 +9,8 @@ of all occurrences with numpy. The cache is bounded; units too long for it are e
 
 from __future__ import annotations
 
-import json
 import os
-import re
 from itertools import chain
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +18,7 @@ import pyarrow as pa
 from .common import data, offsets, ranges
 
 END = 1
-MOST_CACHED, LONGEST_CACHED = 600_000, 48
+MOST_CACHED, LONGEST_CACHED, JOINED, MANY = 600_000, 48, 64, 16384
 
 _SAFE2 = np.zeros(256, bool)  # lead bytes of two-byte characters that are no white space
 _SAFE2[0xC3:0xE0] = True
@@ -36,17 +33,9 @@ _STARTS = _ASCII | _SAFE2 | _SAFE3 | _SAFE4
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 
-_WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-
-
-def _byte_letters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    out, extra = [""] * 256, 0
-    for b in range(256):
-        out[b] = chr(b) if b in plain else chr(256 + extra)
-        extra += b not in plain
-    return out
+#: ASCII and Latin-1 letters in UTF-8: a unit of a space and these is one word.
+_PLAIN = _LETTER.copy()
+_PLAIN[0x80:0xC0] = _PLAIN[0xC3] = True
 
 
 def vocabulary(name: str) -> str:
@@ -85,68 +74,87 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.fast = self._word_encoder(path)
+        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and t.content.startswith("<|") and not t.lstrip and not t.rstrip and not t.single_word and not t.normalized)
+        self.mark_id, self.mark = special[-1] if special else (None, None)
+        # of a byte-level vocabulary without a normalizer the bytes of each token; of one with word ends which tokens end a word
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        tokens = sorted((i, t) for t, i in self.tokenizer.get_vocab().items())
+        self.length = self.ends = None
+        if suffix:
+            self.ends = np.zeros(tokens[-1][0] + 1, np.int64)
+            self.ends[[i for i, t in tokens if t.endswith(suffix)]] = 1
+        elif self.tokenizer.normalizer is None:
+            self.length = np.zeros(tokens[-1][0] + 1, np.int64)
+            self.length[[i for i, _ in tokens]] = [len(t) for _, t in tokens]
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
         self.at = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
-
-    def _ids(self, units: list[bytes]) -> list[list[int]]:
-        """Units that are one word of ASCII or Latin-1 letters go to a byte-pair encoder made from the same file's
-        vocabulary, whose ids rise in the order of the merges; all others, and all where that does not hold, to the tokenizer."""
-        if self.fast is None:
-            return self._slow(units)
-        out: list = [None] * len(units)
-        rest, piece, lower, bare = [], self.fast.encode_single_piece, self.lower, _WORD.fullmatch
-        for i, u in enumerate(units):
-            if bare(u):
-                out[i] = piece(u.strip().decode().lower().encode() + b"\xff" if lower else u)
+        self.length_of = np.zeros(1 << 16, np.int64)
+
+    def _call(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, encoded each for itself, and how many each has."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
+    def _ids(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the units, and how many each has. The library gets JOINED units as one text, so that not each of them
+        costs a call and an object: plain words that begin with a space just as they come, which are cut again where their
+        bytes or their ends of words are full, others with the special token between, at which the library cuts first."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        at = np.concatenate([[0], np.cumsum(size)])
+        raw = np.frombuffer(b"".join(units), np.uint8)
+        plain = (raw[at[:-1]] == 32) & (size > 1) & np.logical_and.reduceat(np.r_[True, _PLAIN[raw[1:]]] | (np.arange(len(raw)) == np.repeat(at[:-1], size)), at[:-1]) & _PLAIN[raw[at[1:] - 1]]
+        if self.length is None and self.ends is None:
+            plain[:] = False
+        count = np.zeros(len(units), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []  # units, and their ids in this order
+        words = np.flatnonzero(plain)
+        for i in range(0, len(words), MANY):
+            some = words[i : i + MANY]
+            texts = [b"".join([units[j] for j in some[k : k + JOINED].tolist()]).decode() for k in range(0, len(some), JOINED)]
+            ids, _ = self._call(texts)
+            if self.length is not None:  # a token that ends where a unit does
+                done, goal = np.cumsum(self.length[ids]), np.cumsum(size[some])
             else:
-                rest.append(i)
-        for i, ids in zip(rest, self._slow([units[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
-
-    def _slow(self, units: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
-
-    def _word_encoder(self, path: str):
-        spec = json.loads(Path(path).read_text())
-        model = spec["model"]
-        self.lower = model.get("end_of_word_suffix") == "</w>"
-        if model["type"] != "BPE" or model.get("end_of_word_suffix") not in (None, "", "</w>"):
-            return None
-        byte = {c: b for b, c in enumerate(_byte_letters())}
-        end = b"\xff" if self.lower else b""
-        special = {t["content"] for t in spec["added_tokens"]}
-        ranks = {}
-        for token, i in model["vocab"].items():
-            if token not in special:
-                word = token.removesuffix("</w>") if self.lower else token
-                ranks[bytes(byte[c] for c in word) + (end if word != token else b"")] = i
-        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        order = [model["vocab"]["".join(m)] for m in merges]
-        if order != sorted(order) or order[0] < 256 * (1 + self.lower) or len(ranks) < len(order):
-            return None
-        import tiktoken
-
-        return tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe
-
-    def _remember(self, units: list[bytes], ids: list[list[int]]) -> None:
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                done, goal = np.cumsum(self.ends[ids]), np.arange(1, len(some) + 1)
+            last = np.searchsorted(done, goal)
+            if not len(done) or done[-1] != goal[-1] or (done[last] != goal).any():
+                plain[some] = False  # no such vocabulary: one by one
+                continue
+            count[some] = np.diff(last, prepend=-1)
+            parts.append((some, ids))
+        rest = np.flatnonzero(~plain)
+        safe = [j for j in rest.tolist() if self.mark is not None and b"<|" not in units[j]]
+        for i in range(0, len(safe), JOINED):
+            some = safe[i : i + JOINED]
+            ids, _ = self._call([self.mark.join([units[j].decode() for j in some])])
+            cut = np.flatnonzero(ids == self.mark_id)
+            count[some] = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
+            parts.append((np.array(some), np.delete(ids, cut)))
+        alone = sorted(set(rest.tolist()) - set(safe))
+        if alone:
+            ids, n = self._call([units[j].decode() for j in alone])
+            count[alone] = n
+            parts.append((np.array(alone), ids))
+        to = np.cumsum(count) - count
+        flat = np.zeros(int(count.sum()), np.uint32)
+        for some, ids in parts:
+            flat[ranges(to[some], count[some])] = ids
+        return flat, count
+
+    def _remember(self, units: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + len(flat)] = flat
         n = len(self.known)
         while n + len(units) > len(self.at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+            self.length_of = np.concatenate([self.length_of, np.zeros_like(self.length_of)])
         self.at[n : n + len(units)] = self.used + np.cumsum(sizes) - sizes
-        self.length[n : n + len(units)] = sizes
+        self.length_of[n : n + len(units)] = sizes
         self.known.update(zip(units, range(n, n + len(units)), strict=True))
         self.used += len(flat)
 
@@ -164,10 +172,10 @@ class Encoder:
         found = list(map(self.known.get, distinct))
         fresh = [u for u, i in zip(distinct, found, strict=True) if i is None]
         if fresh:
-            self._remember(fresh, self._ids(fresh))
+            self._remember(fresh, *self._ids(fresh))
             found = list(map(self.known.__getitem__, distinct))
         index = np.array(found, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-        count = self.length[index]
+        count = self.length_of[index]
         ids = self.flat[ranges(self.at[index], count)]
         if self.used > 8 * MOST_CACHED or any(len(u) > LONGEST_CACHED * 1000 for u in fresh):
             self.clear()  # texts without spaces
