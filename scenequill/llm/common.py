@@ -106,6 +106,13 @@ def python_ready(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+def hot_keys(sample: DataFrame, key: str, share: float = 0.0005) -> np.ndarray:
+    """Values of ``key`` that hold at least ``share`` of the rows of a sample: 1 / share at most, one row to the driver. They
+    may only decide over how many tasks a key's rows are dealt, never what comes out."""
+    got = sample.agg(F.expr(f"approx_top_k({key}, 500, 20000)").alias("top"), F.count("*").alias("n")).first()
+    return np.array([x["item"] for x in got["top"] or [] if x["count"] >= max(20, share * got["n"])], np.int64)
+
+
 def offsets(col: pa.Array) -> np.ndarray:
     """Byte offsets of a string or binary array without nulls, of length n + 1, from the start of its data buffer."""
     kind = np.int64 if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else np.int32
