@@ -43,6 +43,21 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``_id``, ``_rk`` as in ``keyed``, and ``row``: the whole row as a struct, so that no column of it, whatever its name,
+    meets one of ours. ``select("row.*")`` gives it back."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_rk"), row.alias("row"))
+
+
+def distinct_rows(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """Of the rows of ``docs`` whose (``_id``, ``_rk``) ``stay`` has, one for each, all their columns. Rows that repeat doc_id
+    and text are reduced map-side first, so that any number of them costs a row for each task."""
+    one = whole_rows(docs).groupBy("_id", "_rk").agg(F.first("row").alias("row"))
+    return one.join(stay.select("_id", "_rk").hint("merge"), ["_id", "_rk"], "left_semi").select("row.*")
+
+
 def doc_id() -> Column:
     """The doc_id of a row of ``keyed``, null again where it was null."""
     return F.nullif(F.col("_id"), F.lit(NO_ID)).alias("doc_id")
@@ -88,11 +103,30 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or f"{shared_dir(spark)}/corpus-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables of ``stage`` that no plan reads any more. Those that a result still reads stay until ``clean``."""
+    for df in staged:
+        if path := getattr(df, "staged_at", None):
+            jvm = df.sparkSession.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all staged tables of this application: for when its results have been written or read."""
+    df = spark.range(0)
+    df.staged_at = f"{shared_dir(spark)}/corpus-stages/{spark.sparkContext.applicationId}"
+    discard(df)
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Shuffle files go when the driver's JVM collects the plans that own them; after a staged step it may do so now."""
+    """Shuffle files go when the driver's JVM collects the plans that own them, which it may not do for half an hour; after a
+    staged step nothing needs them, so it is asked to collect now."""
     import gc
 
     gc.collect()

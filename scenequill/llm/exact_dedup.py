@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, doc_id, documents, keyed, lower_ascii, partitions, shared_dir, stage
+from .common import NO_ID, discard, distinct_rows, doc_id, documents, keyed, lower_ascii, partitions, shared_dir, stage
 
 
 def digest(text: Column) -> Column:
@@ -59,30 +59,42 @@ def dedup_members(docs: DataFrame, index: DigestIndex) -> DataFrame:
     groups = rows.groupBy("digest").agg(F.max(F.struct("_id", "_row")).alias("top"), F.count("*").alias("group_size"))
     groups = stage(groups.select("digest", F.col("top._id").alias("keep_id"), F.col("top._row").alias("keep_row"), "group_size"), "digest-groups")
     fresh = index.add(groups.select("digest", "keep_id")).select("digest", F.lit(True).alias("fresh"))
-    held = index.rows().groupBy("digest").agg(F.min("keep_id").alias("keep_id"))
-    groups = groups.drop("keep_id").join(held, "digest", "left").join(fresh, "digest", "left")
-    groups = stage(groups.withColumn("fresh", F.coalesce("fresh", F.lit(False))), "digest-classes")
+    held = index.rows().hint("merge")  # a digest comes once, its buckets are sorted: no shuffle of the index
+    classes = groups.drop("keep_id").join(held, "digest", "left").join(fresh, "digest", "left")
+    classes = stage(classes.withColumn("fresh", F.coalesce("fresh", F.lit(False))), "digest-classes")
+    discard(groups)
     # both sides are shuffled by digest here, so that adaptive execution can split the partition of a hot group
-    out = rows.join(groups.hint("merge"), "digest")
+    out = rows.join(classes.hint("merge"), "digest")
     kept = F.col("fresh") & (F.col("_row") == F.col("keep_row"))
     return out.select("_id", "_rk", "digest", "keep_id", "group_size", kept.alias("kept"))
 
 
 def op3_exact_dedup(spark, sf_dir) -> DataFrame:
+    """Every row and whole text of documents, in two batches that meet in one index: first the rows of the upper half of the
+    doc_ids, then the others, whose digests the index may hold already. So the row with the largest doc_id of equal texts
+    stays, whichever batch it comes in, and a text that the first batch left in the index drops all its copies in the second.
+    A null text is the empty one; a null doc_id is smaller than every other; of rows that repeat doc_id and text one is kept.
+    An empty table gives no rows, other columns are not read."""
+    docs = documents(spark, sf_dir)
     index = new_index(spark)
-    out = dedup_members(documents(spark, sf_dir), index)
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    middle = docs.agg(F.percentile_approx(ids, 0.5)).first()[0]
+    late = docs if middle is None else docs.where(ids > middle)
+    first = stage(dedup_members(late, index), "later-documents")
+    second = dedup_members(docs.where(ids <= (NO_ID if middle is None else middle)), index)
+    both = stage(first.union(second), "members")
+    index.close()
+    discard(first)
+    # the two batches' counts of a digest add up; a sum over two rows at most for each digest and task
+    sizes = both.groupBy("digest").agg(F.count("*").alias("group_size"))
+    out = both.drop("group_size").join(sizes.hint("merge"), "digest")
     return out.select(doc_id(), F.nullif(F.col("keep_id"), F.lit(NO_ID)).alias("keep_id"), "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns."""
-    spark = docs.sparkSession
-    stay = dedup_members(docs, index or new_index(spark)).where("kept").select(F.col("_id").alias("__id"), F.col("_rk").alias("__rk"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tagged = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__rk": F.xxhash64(text)})
-    # rows that repeat doc_id and text all match: the window, on the join's own keys, lets the first pass
-    out = tagged.join(stay.hint("merge"), ["__id", "__rk"]).withColumn("__n", F.row_number().over(Window.partitionBy("__id", "__rk").orderBy(F.lit(1))))
-    return out.where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that stay, all their columns: of equal texts the one with the largest doc_id, and none if the index
+    has the text. Of rows that repeat doc_id and text one stays."""
+    return distinct_rows(docs, dedup_members(docs, index or new_index(docs.sparkSession)).where("kept"))
 
 
 OP3_SQL = """

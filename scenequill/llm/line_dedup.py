@@ -62,6 +62,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
 
 
 def op1_line_dedup(spark, sf_dir) -> DataFrame:
+    """Every line of every whole text of documents, by ``line_dedup`` with 40 code points and 5 documents. A null or empty text is
+    one empty line; a line held by documents with equal doc_ids counts once for each text; of documents that share the largest
+    doc_id all keep the line. Repeated rows get equal rows; an empty table gives none; other columns are not read."""
     out = line_dedup(documents(spark, sf_dir), 40, 5)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 

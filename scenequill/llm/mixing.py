@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_id, documents, keyed, stage, word_count
+from .common import doc_id, documents, keyed, stage, whole_rows, word_count
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 BITS, LEVELS = 10, 6
@@ -81,17 +81,17 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
 
 
 def op6_mixing(spark, sf_dir) -> DataFrame:
+    """The mix of all documents, by ``mix_plan`` with production weights. A null text has no words and is never needed; a null
+    source is the last one; documents that share a doc_id share a draw; an empty table gives no rows; other columns are not
+    read."""
     return mix_plan(documents(spark, sf_dir)).select(doc_id(), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """The mixed documents, all their columns: a document taken twice is two rows."""
-    spark = docs.sparkSession
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    plan = stage(mix_plan(docs, weights, share, most).where("copies > 0").groupBy(F.col("_id").alias("__id"), F.col("_rk").alias("__rk")).agg(F.max("copies").alias("__copies")), "mix-plan")
-    tagged = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__rk": F.xxhash64(text)})
-    out = tagged.join(plan, ["__id", "__rk"]).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = mix_plan(docs, weights, share, most).where("copies > 0").groupBy("_id", "_rk").agg(F.max("copies").alias("copies"))
+    out = whole_rows(docs).join(stage(plan, "mix-plan"), ["_id", "_rk"])
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 OP6_SQL = r"""

@@ -194,4 +194,6 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def op4_packing(spark, sf_dir) -> DataFrame:
+    """All documents in sequences of 2048 tokens, by ``pack``. A null or empty text is its end id alone; texts of any length are
+    cut where windows end; repeated rows are packed once each; an empty table gives no rows; other columns are not read."""
     return pack(documents(spark, sf_dir)).select(doc_id(), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -16,10 +16,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, doc_id, documents, keyed, partitions, python_ready, slices, stage
+from .common import NO_ID, distinct_rows, doc_id, documents, keyed, partitions, python_ready, slices, stage
 from .components import components
 
 SMALL, LARGE, RADIUS = 48, 2048, 3
@@ -171,6 +171,8 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     they connect exactly what fingerprints within ``radius`` (at most 3) connect."""
     spark = nodes.sparkSession
     python_ready(spark)
+    # few distinct fingerprints lie in few files, but each makes 64 rows: they are spread before
+    nodes = nodes.select("node", "fp", "tab").repartition(partitions(spark))
     at = nodes.select("node", "fp", F.explode(_variants(F.col("fp"), None, 32, 2, F.col("tab"))).alias("key"))
     out, empty = None, spark.createDataFrame([], "u long, v long")
     for level in range(3):
@@ -216,6 +218,9 @@ SHINGLE, ALIKE = 5, (4, 5)
 #: Fingerprints whose 16-bit bands make candidates, and further ones, of which candidates may differ in at most NEAR bits
 #: (at similarity 0.8 about 19 of 128 differ). Runs of up to FEW compare all pairs at once.
 TABLES, CHECKS, NEAR, FEW, BLOCK = 16, 2, 32, 16, 4096
+#: Share of the bits of all fingerprints in which candidates across the groups found so far may differ: over three standard
+#: deviations above the 0.151 of a similarity of 0.8, so that texts far less alike are not brought together.
+MOST_DIFFER = 0.185
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -245,23 +250,36 @@ def table_fingerprints(text: bytes, tables: int = TABLES + CHECKS) -> list[int]:
     return np.packbits(2 * ones > len(h), bitorder="little").view("<i8").tolist()
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, fps, label to a row for each 16-bit band: key, node, two check fingerprints, label."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        fps = np.array(b.column("fps").to_pylist(), np.int64)
-        values = np.ascontiguousarray(fps[:, :-CHECKS]).view(np.uint16).astype(np.int64)
-        n = values.shape[1]
-        key = (np.arange(n) << 16) + values
-        out = [key.ravel(), *(np.repeat(x, n) for x in (b.column("node").to_numpy(), fps[:, -2], fps[:, -1], b.column("label").to_numpy()))]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["key", "node", "c0", "c1", "label"])
+def _bands(all_of_them: bool) -> Callable:
+    """node, fps, label to a row for each 16-bit band: key, node, two check fingerprints, label, and all fingerprints if asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 500):
+                part = b.slice(i, 500)
+                fps = np.array(part.column("fps").to_pylist(), np.int64)
+                values = np.ascontiguousarray(fps[:, :-CHECKS]).view(np.uint16).astype(np.int64)
+                n = values.shape[1]
+                key = (np.arange(n) << 16) + values
+                out = [key.ravel(), *(np.repeat(x, n) for x in (part.column("node").to_numpy(), fps[:, -2], fps[:, -1], part.column("label").to_numpy()))]
+                every = pa.array([f.tobytes() for f in fps for _ in range(n)] if all_of_them else [None] * len(out[0]), pa.binary())
+                yield pa.RecordBatch.from_arrays([*map(pa.array, out), every], BAND)
+
+    return run
+
+
+BAND = ["key", "node", "c0", "c1", "label", "every"]
 
 
 def _differ(c0: np.ndarray, c1: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> np.ndarray:
     return _popcount(c0 ^ d0) + _popcount(c1 ^ d1)
 
 
+def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of fingerprints differ in a larger share of all bits than those of texts that are alike."""
+    return np.bitwise_count(x ^ y).sum(1, dtype=np.int64) > MOST_DIFFER * 64 * x.shape[1]
+
+
 def _centre(c: np.ndarray) -> np.ndarray:
     bits = np.unpackbits(c.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1)
     return np.packbits(2 * bits.sum(0, dtype=np.int64) > len(c)).view("<i8")
@@ -300,21 +318,23 @@ def _candidates(across: bool) -> Callable:
     def emit(u: np.ndarray, v: np.ndarray, long: bool) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(np.full(len(u), int(long), np.int64))], ["u", "v", "long"])
 
-    def runs_of(key: np.ndarray, node: np.ndarray, c0: np.ndarray, c1: np.ndarray, label: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def runs_of(key: np.ndarray, node: np.ndarray, c0: np.ndarray, c1: np.ndarray, label: np.ndarray, every: np.ndarray) -> Iterator[pa.RecordBatch]:
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(begin, len(key)))
         keep = np.repeat((size > 1) & (size <= FEW), size)
-        k, n, x, y, t = (c[keep] for c in (key, node, c0, c1, label))
+        k, n, x, y, t, z = (c[keep] for c in (key, node, c0, c1, label, every))
         for d in range(1, FEW):
             same = np.flatnonzero(k[d:] == k[:-d])
             if not len(same):
                 break
             near = same[(_differ(x[same], y[same], x[same + d], y[same + d]) <= NEAR) & (not across or t[same] != t[same + d])]
+            if across and len(near):
+                near = near[~_far(z[near], z[near + d])]
             if len(near):
                 yield emit(n[near], n[near + d], False)
         for i in np.flatnonzero(size > FEW):
             s = slice(begin[i], begin[i] + size[i])
-            n, x, y, t = node[s], c0[s], c1[s], label[s]
+            n, x, y, t, z = node[s], c0[s], c1[s], label[s], every[s]
             if not across:
                 u, v = _tree(n, x, y)
                 if len(u):
@@ -323,23 +343,27 @@ def _candidates(across: bool) -> Callable:
                 step = max(1, (1 << 20) // len(n))
                 for j in range(0, len(n), step):
                     r, c = np.nonzero((_differ(x[j : j + step, None], y[j : j + step, None], x, y) <= NEAR) & (t[j : j + step, None] < t))
-                    if len(r):
-                        yield emit(n[j + r], n[c], True)
+                    for q in range(0, len(r), 1 << 16):
+                        u, v = j + r[q : q + (1 << 16)], c[q : q + (1 << 16)]
+                        ok = ~_far(z[u], z[v])
+                        if ok.any():
+                            yield emit(n[u[ok]], n[v[ok]], True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "node", "c0", "c1", "label")
         held: list[list[np.ndarray]] = []  # rows that may belong to a run which goes on
         for b in batches:
-            cols = [b.column(c).to_numpy() for c in names]
-            if not len(cols[0]):
+            if not b.num_rows:
                 continue
+            cols = [b.column(c).to_numpy() for c in BAND[:-1]]
+            every = b.column("every").drop_null()
+            cols.append(np.frombuffer(b"".join(every.to_pylist()), np.uint64).reshape(b.num_rows, -1) if len(every) else np.zeros((b.num_rows, 0), np.uint64))
             if cols[0][-1] != (held[0][0][0] if held else cols[0][0]) or not held and cols[0][-1] != cols[0][0]:
                 cut = int(np.searchsorted(cols[0], cols[0][-1]))
                 yield from runs_of(*(np.concatenate([*(h[i] for h in held), c[:cut]]) for i, c in enumerate(cols)))
                 held, cols = [], [c[cut:] for c in cols]
             held.append(cols)
         if held:
-            yield from runs_of(*(np.concatenate([h[i] for h in held]) for i in range(len(names))))
+            yield from runs_of(*(np.concatenate([h[i] for h in held]) for i in range(len(BAND))))
 
     return run
 
@@ -347,7 +371,7 @@ def _candidates(across: bool) -> Callable:
 def _found(nodes: DataFrame, across: bool, name: str) -> DataFrame:
     """Staged, distinct candidates u, v, long of ``nodes`` (node, fps, label)."""
     spark = nodes.sparkSession
-    rows = nodes.mapInArrow(_bands, "key long, node long, c0 long, c1 long, label long")
+    rows = nodes.mapInArrow(_bands(across), "key long, node long, c0 long, c1 long, label long, every binary")
     rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key")
     return stage(rows.mapInArrow(_candidates(across), "u long, v long, long long").groupBy("u", "v").agg(F.max("long").alias("long")), name)
 
@@ -404,9 +428,5 @@ def near_dedup(docs: DataFrame, tables: int = TABLES) -> DataFrame:
     same = rows.groupBy("fps").agg(F.min(F.struct("_id", "_rk", "node")).alias("top")).withColumn("node", F.col("top.node"))
     roots = components(near_links(same.select("node", "fps", "top._id", "top._rk"), docs))
     linked = same.join(roots, "node", "left").select("fps", "top", F.coalesce("root", "node").alias("root"))
-    stay = linked.groupBy("root").agg(F.min("top").alias("first")).select(F.col("first._id").alias("__id"), F.col("first._rk").alias("__rk"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tagged = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__rk": F.xxhash64(text)})
-    # rows that repeat doc_id and text all match: the window, on the join's own keys, lets the first pass
-    out = tagged.join(stay.hint("merge"), ["__id", "__rk"]).withColumn("__n", F.row_number().over(Window.partitionBy("__id", "__rk").orderBy(F.lit(1))))
-    return out.where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = linked.groupBy("root").agg(F.min("top").alias("first")).select("first._id", "first._rk")
+    return distinct_rows(docs, stay)

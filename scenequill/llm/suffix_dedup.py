@@ -373,5 +373,8 @@ def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
 
 
 def op2_suffix_dedup(spark, sf_dir) -> DataFrame:
+    """Every whole text of documents as bytes, by ``suffix_dedup`` with 100 bytes. A null text has no bytes; very long texts go
+    through in chunks; rows that repeat doc_id and text are one document; an empty table gives no rows; other columns are not
+    read."""
     out = suffix_dedup(documents(spark, sf_dir), 100)
     return out.select(doc_id(), "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

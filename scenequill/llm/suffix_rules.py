@@ -213,6 +213,8 @@ def quality(docs: DataFrame, most_covered: float = MOST_COVERED, most_longest: f
 
 
 def op7_quality_rules(spark, sf_dir) -> DataFrame:
+    """The counts and verdict of every whole text of documents, by ``quality``. A null or empty text has no words and fails; very
+    long texts are one block each; repeated rows get equal rows; an empty table gives none; other columns are not read."""
     out = quality(documents(spark, sf_dir))
     return out.select(doc_id(), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "repeat_covered", "repeat_longest", "base_failed", "kept")
 

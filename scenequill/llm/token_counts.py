@@ -139,4 +139,6 @@ def edited_counts(docs: DataFrame, path: str | None = None, edits=mask_edits) ->
 
 
 def op10_token_counts(spark, sf_dir) -> DataFrame:
+    """Counts of all documents before and after masking their e-mail addresses and phone numbers, by ``edited_counts``. A null or
+    empty text has no tokens; repeated rows get equal rows; an empty table gives none; other columns are not read."""
     return edited_counts(documents(spark, sf_dir)).select(doc_id(), "n_tokens", "n_edits", "n_tokens_edited", "n_bytes", "n_bytes_reencoded")
