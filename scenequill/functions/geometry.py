@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .draws import draw
+
 AXES = ("x", "y", "z")
 OBJECT = ["scene_id", "object_id"]
 
@@ -61,12 +63,19 @@ def horizontal_distance() -> Column:
     return F.sqrt((ax - bx) * (ax - bx) + (az - bz) * (az - bz))
 
 
-def human_band(metres: Column, draw: Column) -> Column:
-    """value and unit that people would use; ``draw`` in [0, 10) picks between two units."""
-    m = metres * 10
-    unit = F.when(m < 1, F.when(draw < 6, "centimeters").otherwise("inches")).when(m < 3, F.when(draw < 6, "meters").otherwise("feet")).otherwise(F.when(draw < 7, "meters").otherwise("feet"))
-    value = F.when(unit == "centimeters", m * 100).when(unit == "inches", m * F.lit(39.37)).when(unit == "feet", m * F.lit(3.281)).otherwise(m)
-    return F.struct(value.alias("value"), unit.alias("unit"))
+def with_human_distance(df: DataFrame, out: str, metres: Column, *key: Column) -> DataFrame:
+    """``df`` with ``out``, a length as people would say it, tenfold: "12.5 centimeters". Unit and precision are drawn by a hash
+    of ``key``; the value has two decimals, and then 0, 1 or 2 of them unless it is zero or no number. Built in steps of
+    columns, as one expression would repeat its parts many times."""
+    own = df.columns
+    t = df.withColumns({"_m": metres * 10, "_u": draw(10, *key, F.lit("unit")), "_places": draw(3, *key, F.lit("places"))})
+    t = t.withColumns({"_first": F.col("_u") < F.when(F.col("_m") < 3, 6).otherwise(7), "_small": F.col("_m") < 1})
+    unit = F.when(F.col("_first"), F.when(F.col("_small"), "centimeters").otherwise("meters")).otherwise(F.when(F.col("_small"), "inches").otherwise("feet"))
+    factor = F.when(F.col("_first"), F.when(F.col("_small"), 100.0).otherwise(1.0)).otherwise(F.when(F.col("_small"), 39.37).otherwise(3.281))
+    t = t.withColumns({"_v": F.round(F.col("_m") * factor, 2), "_unit": unit})
+    v, places = F.col("_v"), F.col("_places")
+    said = F.when(F.isnan(v) | (v == 0), v).when(places == 0, F.round(v, 0)).when(places == 1, F.round(v, 1)).otherwise(v)
+    return t.withColumn(out, F.concat(said.cast("string"), F.lit(" "), "_unit")).select(*[c for c in own if c != out], out)
 
 
 def nearest_distances(points: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -77,15 +86,15 @@ def nearest_distances(points: DataFrame, chosen: DataFrame) -> DataFrame:
     a = packed.select("scene_id", F.col("object_id").alias("a_object_id"), F.col("pts").alias("a_pts"))
     b = packed.select("scene_id", F.col("object_id").alias("b_object_id"), F.col("pts").alias("b_pts"))
 
-    @F.pandas_udf("mean double, least double, greatest double")
+    @F.pandas_udf("mean double, least double, greatest double, n long")
     def near(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for xs, ys in it:
             rows = []
             for x, y in zip(xs, ys, strict=True):
                 p, q = np.stack(x), np.stack(y)
                 d = np.concatenate([np.sqrt(((p[i : i + 512, None, :] - q[None]) ** 2).sum(2)).min(1) for i in range(0, len(p), 512)])
-                rows.append((d.mean(), d.min(), d.max()))
-            yield pd.DataFrame(rows, columns=["mean", "least", "greatest"])
+                rows.append((d.mean(), d.min(), d.max(), len(d)))
+            yield pd.DataFrame(rows, columns=["mean", "least", "greatest", "n"])
 
     j = chosen.join(a, ["scene_id", "a_object_id"]).join(b, ["scene_id", "b_object_id"])
     return j.withColumn("d", near("a_pts", "b_pts")).select("scene_id", "a_object_id", "b_object_id", "d.*")
@@ -116,6 +125,37 @@ def unproject(u: Column, v: Column, z: Column, fx: float, fy: float, cx: float,
 
 
 def relation_2d(dx: Column, dy: Column, band: float = 10.0) -> Column:
-    h = F.when(dx > band, "right of").when(dx < -band, "left of")
-    v = F.when(dy > band, "below").when(dy < -band, "above")
-    return F.when(h.isNull() & v.isNull(), "aligned with").otherwise(F.concat_ws(" and ", h, v))
+    """Where b is, seen from a: both halves always, "aligned" within the band."""
+    h = F.when(dx < -band, "left of").when(dx > band, "right of").otherwise("horizontally aligned with")
+    v = F.when(dy < -band, "above").when(dy > band, "below").otherwise("vertically aligned with")
+    return F.concat(h, F.lit(" and "), v, F.lit(" a"))
+
+
+def cloud_distances(points: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Least, mean and greatest over the nearest-point distances of both directions of each chosen pair, taken together."""
+    both = chosen.select("scene_id", "a_object_id", "b_object_id", F.explode(F.array(F.lit(False), F.lit(True))).alias("back"))
+    way = both.select("scene_id", F.when(F.col("back"), F.col("b_object_id")).otherwise(F.col("a_object_id")).alias("a_object_id"), F.when(F.col("back"), F.col("a_object_id")).otherwise(F.col("b_object_id")).alias("b_object_id")).distinct()
+    d = nearest_distances(points, way)
+    pair = lambda x: (F.least("a_object_id", "b_object_id") if x == "a" else F.greatest("a_object_id", "b_object_id")).alias(f"{x}_object_id")
+    each = d.groupBy("scene_id", pair("a"), pair("b"))
+    return each.agg(F.min("least").alias("least"), (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("mean"), F.max("greatest").alias("greatest"))
+
+
+def focal_length(k: Column) -> Column:
+    """The focal length of a camera matrix, array<array<double>> or a batch of them: its first element."""
+    return F.get(F.get(k, F.lit(0)), F.lit(0))
+
+
+def box_bounds(centre: Column, extent: Column) -> Column:
+    """struct<low,high> of a box given as two arrays of three."""
+    half = lambda s: F.zip_with(centre, extent, lambda c, e: c + s * e / 2)
+    return F.struct(half(-1).alias("low"), half(1).alias("high"))
+
+
+def taller(a_extent: Column, b_extent: Column) -> Column:
+    return a_extent[1] > b_extent[1]
+
+
+def larger(a_extent: Column, b_extent: Column) -> Column:
+    volume = lambda e: e[0] * e[1] * e[2]
+    return volume(a_extent) > volume(b_extent)

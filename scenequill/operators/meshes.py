@@ -58,9 +58,9 @@ def turned(x: Column, y: Column, quarter: Column) -> list[Column]:
 
 
 def joint_relation(dx: Column, dy: Column) -> Column:
-    """Of b seen from a in image coordinates: same, or the larger axis decides."""
+    """Where a is of b, in image coordinates, from b - a: same, or the larger axis decides."""
     same = (F.abs(dx) < 1e-6) & (F.abs(dy) < 1e-6)
-    return F.when(same, "same").when(F.abs(dx) >= F.abs(dy), F.when(dx > 0, "left of").otherwise("right of")).otherwise(F.when(dy > 0, "above").otherwise("below"))
+    return F.when(same, "same").when(F.abs(dx) >= F.abs(dy), F.when(dx > 0, "left").otherwise("right")).otherwise(F.when(dy > 0, "above").otherwise("below"))
 
 
 def decode_bins(logits: Column, start: int, n: int) -> Column:

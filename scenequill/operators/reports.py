@@ -35,11 +35,60 @@ def score_histogram(scores: DataFrame) -> DataFrame:
     return all5.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
 
 
+def quantiles(df: DataFrame, value: str, shares: list[float], buckets: int = 1024, few: int = 100_000) -> list[float | None]:
+    """Exact quantiles, interpolated, without bringing all values together. A histogram of ``buckets`` ranges (map-side sums) tells
+    in which range each wanted rank lies; that range alone is divided again, until it holds ``few`` values at most or one
+    value only. What comes to the driver is a row for each bucket, and in the end the few values around a rank."""
+    v = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    whole = v.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n = whole["n"]
+    if not n:
+        return [None] * len(shares)
+
+    known: dict[int, float] = {}
+
+    def at(rank: int) -> float:
+        """The value of a rank, from 0."""
+        if rank in known:
+            return known[rank]
+        lo, hi, before, count = whole["lo"], whole["hi"], 0, n
+        while count > few and lo < hi:
+            step = (hi - lo) / buckets
+            if not step > 0 or lo + step == lo:
+                break
+            b = F.least(F.lit(buckets - 1), F.floor((F.col("v") - lo) / step).cast("long"))
+            rows = v.where((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy(b.alias("b")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect()
+            for r in rows:
+                if before + r["n"] > rank:
+                    lo, hi, count = r["lo"], r["hi"], r["n"]
+                    break
+                before += r["n"]
+        if lo < hi:
+            # equal values count once here, so a long run of one value is a row
+            rows = v.where((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy("v").count().orderBy("v").collect()
+            for r in rows:
+                for k in range(max(before, rank - 1), min(before + r["count"], rank + 2)):
+                    known[k] = r["v"]
+                before += r["count"]
+        else:
+            known[rank] = lo
+        return known[rank]
+
+    out = []
+    for q in shares:
+        place = q * (n - 1)
+        low = int(place)
+        a = at(low)
+        out.append(a if place == low else a + (at(low + 1) - a) * (place - low))
+    return out
+
+
 def stretch(df: DataFrame, value: str, low: float = 0.02, high: float = 0.85) -> DataFrame:
     """``value`` scaled to [0, 1] between two exact percentiles."""
-    bounds = df.agg(F.percentile(value, F.lit(low)).alias("lo"), F.percentile(value, F.lit(high)).alias("hi"))
-    scaled = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_divide(F.col(value) - F.col("lo"), F.col("hi") - F.col("lo"))))
-    return df.join(F.broadcast(bounds)).withColumn("stretched", F.round(scaled, 6)).drop("lo", "hi")
+    lo, hi = quantiles(df, value, [low, high])
+    lo, hi = (F.lit(x).cast("double") for x in (lo, hi))
+    scaled = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_divide(F.col(value) - lo, hi - lo)))
+    return df.withColumn("stretched", F.round(scaled, 6))
 
 
 def median_fill(df: DataFrame, by: str, value: str) -> DataFrame:

@@ -9,9 +9,28 @@ from ..functions import geometry
 
 NOUN = "CASE object_id WHEN 'AF' THEN 'wooden crate' WHEN 'AO' THEN 'steel plank' WHEN 'NF' THEN 'red chair' WHEN 'NO' THEN 'lamp' WHEN 'RF' THEN 'door' ELSE 'table' END"
 N = "(CAST(floor(o_totalprice / 1000) AS BIGINT) % 50 + 1)"
-PRED = f"CASE o_orderkey % 8 WHEN 0 THEN CAST({N} AS STRING) || ' meters' WHEN 1 THEN CAST({N} * 100 AS STRING) || ' cm' WHEN 2 THEN 'about ' || CAST({N} AS STRING) || '.5 feet away' WHEN 3 THEN 'Yes, it is.' WHEN 4 THEN 'No' WHEN 5 THEN 'Answer: (B) left' WHEN 6 THEN 'the crate' ELSE 'It has three parts, actually.' END"
-TRUTH = f"CASE o_custkey % 5 WHEN 0 THEN CAST({N} + o_custkey % 3 AS STRING) || ' meters' WHEN 1 THEN 'yes' WHEN 2 THEN '(B)' WHEN 3 THEN 'the crate is left' ELSE CAST({N} AS STRING) || ' feet' END"
-QUESTION = "CASE o_custkey % 7 WHEN 0 THEN 'How far is the lamp from the door?' WHEN 1 THEN 'What is the vertical distance between them?' WHEN 2 THEN 'What is the horizontal distance between them?' WHEN 3 THEN 'How wide is the crate?' WHEN 4 THEN 'Which is taller, the crate or the lamp?' WHEN 5 THEN 'Is the lamp left of the door?' ELSE 'Describe the scene.' END"
+
+
+def _cases(key: str, texts: list[str]) -> str:
+    return f"CASE {key} % {len(texts)} " + " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(texts)) + " END"
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_n, _q = f"CAST({N} AS STRING)", quoted
+#: Predictions, truths and questions that reach every branch of the readers and scorers.
+PRED = _cases("o_orderkey", [
+    f"{_n} || ' meters'", f"CAST({N} * 100 AS STRING) || ' cm'", f"'about ' || {_n} || '.5 feet away'", f"{_n} || ' metres or so'", f"{_n} || ' centimetres'", f"{_n} || ' inches'", _n, f"'1,' || CAST(100 + {N} AS STRING) || ' mm'",
+    f"'<conclusion> ' || {_n} || '.25 </conclusion>'", _q("twenty or three of them"), _q("Yes, it is."), _q("No"), _q("Actually, it is not."), _q("<conclusion>no</conclusion> yes"), _q("It is correct that it is wrong."), _q("Indeed it is true."),
+    _q("Answer: B left"), _q("The answer is c"), _q("<conclusion> (D) </conclusion>"), _q("I take [a] here"), _q("b. the door"), _q("E."), _q("Answer: Bold"), _q("the crate is left"), _q("The lamp"), _q("It has three parts, actually."), _q("the table"), f"'left ' || {_n} || ' ft'",
+])
+TRUTH = _cases("o_custkey", [f"CAST({N} + o_custkey % 3 AS STRING) || ' meters'", _q("yes"), _q("(B)"), _q("the crate is left"), f"{_n} || ' feet'", f"{_n}", _q("A"), _q("the lamp, not the crate"), _q("No, it is not."), f"CAST({N} AS STRING) || ' metres'", _q("0"), _q("The lamp")])
+QUESTION = _cases("o_custkey", [
+    _q("How far is the lamp from the door?"), _q("What is the vertical distance between them?"), _q("What is the horizontal distance between them?"), _q("How wide is the crate?"), _q("Who is taller, the crate or the lamp?"), _q("Is the lamp left of the door?"), _q("Describe the scene."),
+    _q("What is the radius of the ball?"), _q("Which is above the floor: the crate or the lamp?"), _q("Can you confirm that it is red?"), _q("How tall is the door?"), _q("Which one appears bigger, the crate  or the lamp."), _q("Does the lamp touch it?"),
+])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,13 +37,14 @@ def test_numbers_units_options(spark):
 
 
 def test_relative_accuracy_of_a_fifth_off(spark):
-    df = spark.createDataFrame([("80 cm", "1 m"), ("0 m", "0 m")], "p string, g string")
-    assert [r[0] for r in df.select(T.score_mra(F.col("p"), F.col("g"))).collect()] == pytest.approx([0.6, 1.0])
+    d = T.with_lengths(spark.createDataFrame([("8 m", "10 m"), ("4", "3"), ("0 m", "0 cm"), ("none", "1 m")], "pred string, truth string"))
+    assert [r[0] for r in d.select(T.score_mra()).collect()] == [0.6, 0.4, 1.0, None]
+    assert [r[0] for r in d.select(T.score_distance()).collect()] == [1.0, 1.0, 1.0, None]
 
 
-@pytest.mark.parametrize(("text", "want"), [('```json\n{"a": 1}\n```', '{"a": 1}'), ('<think>{x}</think>so {"a": {"b": 2}} ok', '{"a": {"b": 2}}'), ("{oops", None)])
+@pytest.mark.parametrize(("text", "want"), [('```json\n{"a": 1}\n```', '{"a": 1}'), ('<think>{x}</think>so {"a": {"b": 2}} ok', '{"a": {"b": 2}}'), ("{oops", None), ('first {"a": "}"} then {"b": 2}', '{"a": "}"}'), ("<think>x</think>\n```\n[1, 2]\n```", "[1, 2]")])
 def test_json(spark, text, want):
-    assert one(spark, text, T.balanced_json) == want
+    assert one(spark, text, T.json_of) == want
 
 
 def corners(size, turn=0.0):
@@ -143,7 +144,7 @@ def test_mesh(spark):
 
 def test_joint_relation(spark):
     d = spark.createDataFrame([(60, 0), (0, 60), (0, 0)], "dx int, dy int")
-    assert [r[0] for r in d.select(meshes.joint_relation(F.col("dx"), F.col("dy"))).collect()] == ["left of", "above", "same"]
+    assert [r[0] for r in d.select(meshes.joint_relation(F.col("dx"), F.col("dy"))).collect()] == ["left", "above", "same"]
 
 
 def test_non_maximum(spark):
