@@ -412,7 +412,7 @@ def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     of = forest.select(F.col("u").alias("node")).union(forest.select("v")).distinct()
     labels = of.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("label"))
     more = _found(nodes.select("node", "fps").join(labels, "node").select("node", "fps", "label"), True, "near-across")
-    more = more.select("u", "v").join(judged, ["u", "v"], "left_anti")
+    more = stage(more.select("u", "v").join(judged, ["u", "v"], "left_anti"), "near-more")  # read three times
     return links.union(_verified(more, nodes.select("node", "_id", "_rk"), docs, "near-across-judged").where("ok").select("u", "v"))
 
 
