@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from .common import WS, doc_id, documents, keyed, lower_ascii, partitions, stage
 
-SALTS = 16
-
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     line = F.btrim(F.col("line"), F.lit(WS))
@@ -30,13 +28,15 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     lose all their lines except those of the largest doc_id that holds the key."""
     spark = docs.sparkSession
     lines = stage(line_hashes(docs, min_chars), "line-hashes")
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64("_id", "_rk"), F.lit(SALTS)))
+    salted = lines.withColumn("salt", F.pmod(F.xxhash64("_id", "_rk"), F.lit(partitions(spark))))
     ranged = salted.repartitionByRange(partitions(spark), "h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", F.desc("_id"), F.desc("_rk"), "pos")
     w = Window.partitionBy("h1", "h2", "salt").orderBy(F.desc("_id"), F.desc("_rk"), "pos")
     again = F.coalesce((F.lag("_id").over(w) == F.col("_id")) & (F.lag("_rk").over(w) == F.col("_rk")), F.lit(False))
     firsts = ranged.select("h1", "h2", "_id", again.alias("again")).where(~F.col("again"))
     common = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("_id").alias("top")).where(F.col("n") >= min_docs)
-    gone = lines.join(common.select("h1", "h2", "top"), ["h1", "h2"]).where(F.col("_id") != F.col("top"))
+    # written down, so that both sides of the join are plain shuffles and adaptive execution can split a hot key's lines
+    common = stage(common.select("h1", "h2", "top"), "common-lines")
+    gone = lines.join(common.hint("merge"), ["h1", "h2"]).where(F.col("_id") != F.col("top"))
     bit = F.expr("shiftleft(1L, cast(pos % 64 as int))")
     words = gone.groupBy("_id", "_rk", F.expr("cast(pos div 64 as int)").alias("w")).agg(F.bit_or(bit).alias("bits"))
     return words.groupBy("_id", "_rk").agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("words"))
