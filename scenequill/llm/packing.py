@@ -7,8 +7,9 @@ that fills a window closest to capacity; walking back through the bitsets gives
 pattern is repeated as long as the counts allow. Where even the best multiset leaves slack and pieces remain, one piece is
 cut to fill it, and its rest returns to the histogram, so that a corpus of one hot length packs as well as any other.
 
-The plan maps ranks of equal-length pieces to windows; a piece's rank comes from a window function over (length, salt) plus
-an offset for each (length, salt), so no length's pieces ever meet in one task.
+The plan maps ranks of equal-length pieces to windows. The task that cuts documents numbers its pieces of each length; a
+piece's rank is that number plus the count of such pieces in earlier tasks. So ranks need no sort, no length's pieces meet in
+one task, and ids travel once, to join the few numbers that say where they go.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import data, doc_id, documents, keyed, offsets, slices, python_ready, stage
 from .tokens import encoder, vocabulary, with_end
 
-WINDOW, SALTS = 2048, 64
+WINDOW = 2048
 
 
 def best_fill(count: dict[int, int], window: int) -> dict[int, int]:
@@ -117,11 +119,13 @@ class Places:
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
-    """_id, _rk, start, length, doc_tokens, ids (little-endian, 2 bytes each where the vocabulary allows)."""
+    """piece (a number), part, nth (of its length in its part), _id, start, length, doc_tokens, ids (little-endian, 2 bytes each
+    where the vocabulary allows)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         kind = "<u2" if enc.size <= 1 << 16 else "<u4"
+        part, made, seen = TaskContext.get().partitionId(), 0, np.zeros(window + 1, np.int64)
         for b in slices(batches, most=8 << 20):
             ids, at = with_end(*enc.texts(b.column("text")))
             n = np.diff(at)
@@ -133,32 +137,41 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
             raw = ids.astype(kind)
             bounds = np.append(at[doc] + start, at[-1]) * raw.itemsize
             packed = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw.tobytes())])
+            order = np.argsort(length, kind="stable")
+            run = np.concatenate([[True], np.diff(length[order]) > 0])
+            nth = np.zeros(len(doc), np.int64)
+            nth[order] = np.arange(len(doc)) - np.maximum.accumulate(np.where(run, np.arange(len(doc)), 0))
+            nth += seen[length]
+            seen += np.bincount(length, minlength=window + 1)
             for i in range(0, len(doc), 4000):
                 s = slice(i, i + 4000)
+                piece = (part << 33) + made + np.arange(i, i + len(doc[s]))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("_id").take(pa.array(doc[s])), b.column("_rk").take(pa.array(doc[s])), pa.array(start[s]), pa.array(length[s]), pa.array(n[doc[s]]), packed[s]],
-                    ["_id", "_rk", "start", "length", "doc_tokens", "ids"],
+                    [pa.array(piece), pa.array(np.full(len(piece), part)), pa.array(nth[s]), b.column("_id").take(pa.array(doc[s])), pa.array(start[s]), pa.array(length[s]), pa.array(n[doc[s]]), packed[s]],
+                    ["piece", "part", "nth", "_id", "start", "length", "doc_tokens", "ids"],
                 )
+            made += len(doc)
 
     python_ready(docs.sparkSession)
-    return keyed(docs).mapInArrow(cut, "_id long, _rk long, start long, length long, doc_tokens long, ids binary")
+    return keyed(docs).mapInArrow(cut, "piece long, part long, nth long, _id long, start long, length long, doc_tokens long, ids binary")
 
 
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> DataFrame:
-    """One row per piece: _id, _rk, start, length, doc_tokens, ids, ids_crc32, sequence_id, offset.
+    """One row per piece: _id, start, length, doc_tokens, ids, ids_crc32, sequence_id, offset.
 
-    Every document has at least its end id. Repeated rows are packed once each; which of two equal rows gets which place
-    does not matter, all else is fixed by the rows. All sequences but the last are full."""
+    Every document has at least its end id. Repeated rows are packed once each; which of two pieces of one length gets which
+    place follows the order of the input's files, all else is fixed by the rows. All sequences but the last are full."""
     path = path or vocabulary("byte_bpe_50k.json")
     spark = docs.sparkSession
-    cut = stage(pieces(docs, path, window).withColumn("salt", F.pmod(F.xxhash64("_id", "_rk"), F.lit(SALTS)).cast("int")), "pieces")
-    counts = stage(cut.groupBy("length", "salt").agg(F.count("*").alias("n")), "piece-counts")
+    cut = stage(pieces(docs, path, window), "pieces")
+    counts = stage(cut.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row for each length, so at most ``window``
     places = Places(plan(histogram, window))
-    below = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = counts.select("length", "salt", below.alias("base"))
-    nth = F.row_number().over(Window.partitionBy("length", "salt").orderBy("_id", "_rk", "start")) - 1
-    ranked = cut.withColumn("nth", nth).join(bases, ["length", "salt"]).withColumn("rank", (F.col("base") + F.col("nth")).cast("long"))
+    # a row for each length and task
+    below = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = stage(counts.select("length", "part", below.alias("base")), "piece-bases")
+    ranks = cut.select("piece", "length", "part", "nth").join(bases, ["length", "part"]).select("piece", (F.col("base") + F.col("nth")).cast("long").alias("rank"))
+    ranked = cut.join(stage(ranks, "piece-ranks").hint("merge"), "piece")
     shared = spark.sparkContext.broadcast(places)  # its size depends on the window, not on the corpus
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,13 +191,13 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
                 at = pa.array(which)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        b.column("_id").take(at), b.column("_rk").take(at), pa.array(start[which] + f[:, 0]), pa.array(f[:, 1]), b.column("doc_tokens").take(at),
+                        b.column("_id").take(at), pa.array(start[which] + f[:, 0]), pa.array(f[:, 1]), b.column("doc_tokens").take(at),
                         pa.array([raw[x:y].tobytes() for x, y in zip(lo, hi, strict=True)], pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(f[:, 2]), pa.array(f[:, 3]),
                     ],
-                    ["_id", "_rk", "start", "length", "doc_tokens", "ids", "ids_crc32", "sequence_id", "offset"],
+                    ["_id", "start", "length", "doc_tokens", "ids", "ids_crc32", "sequence_id", "offset"],
                 )
 
-    return ranked.select("_id", "_rk", "start", "length", "doc_tokens", "ids", "rank").mapInArrow(put, "_id long, _rk long, start long, length long, doc_tokens long, ids binary, ids_crc32 long, sequence_id long, offset long")
+    return ranked.select("_id", "start", "length", "doc_tokens", "ids", "rank").mapInArrow(put, "_id long, start long, length long, doc_tokens long, ids binary, ids_crc32 long, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
