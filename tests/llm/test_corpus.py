@@ -331,14 +331,44 @@ def test_token_trees():
         t = "".join(random.choice(signs) for _ in range(random.randint(0, 40)))
         b = t.encode()
         starts, count, _ = enc.units(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
-        tree = token_counts.TokenTree(b, starts, count, enc)
-        for _ in range(3):
+        tree = token_counts.TokenTree(b, np.diff(np.append(starts, len(b))), count, enc)
+        for _ in range(6):
             i = random.randint(0, len(t))
             j = random.randint(i, min(len(t), i + random.choice([0, 1, 10])))
             new = "".join(random.choice(signs) for _ in range(random.randint(0, 3)))
             tree.replace(len(t[:i].encode()), len(t[:j].encode()), new.encode())
             t = t[:i] + new + t[j:]
             assert tree.total == len(enc.tokenizer.encode(t, add_special_tokens=False).ids)
+            assert b"".join(u for u, _ in tree.units()) == t.encode() and int(tree.bytes[1]) == len(t.encode())
+
+
+def test_kept_trees_take_a_second_round_of_edits(spark):
+    """What a round leaves is edited again, and only near the new edits is anything encoded."""
+    enc = tokens.encoder(tokens.vocabulary("byte_bpe_50k.json"))
+    text = " ".join(f"word{i} mail a{i}@b.org" if i % 40 == 0 else f"word{i}" for i in range(400))
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "plain")], "doc_id long, text string")
+    first = token_counts.stage(token_counts.apply_edits(token_counts.token_trees(docs)), "trees")
+
+    def second(t: bytes) -> list:
+        at = t.find(b"word77 ")
+        return [(at, at + 6, b"other text, quite")] if at >= 0 else []
+
+    got = {r["_id"]: r for r in token_counts.apply_edits(first, edits=second).collect()}
+    b = text.encode()
+    for rule in (token_counts.mask_edits, second):
+        for x, y, new in rule(b):
+            b = b[:x] + new + b[y:]
+    assert got[1]["text"] == b and got[1]["n_tokens"] == len(enc.tokenizer.encode(b.decode(), add_special_tokens=False).ids)
+    assert sum(got[1]["tokens"]) == got[1]["n_tokens"] and sum(got[1]["sizes"]) == len(b) and max(got[1]["sizes"]) < 40
+    assert 0 < got[1]["n_bytes_reencoded"] < 60 and got[2]["n_tokens"] == 0 and got[3]["n_edits"] == 0
+
+
+def test_a_mapped_shard_gives_any_document(tmp_path):
+    ids = np.arange(70_000, dtype=np.uint32) % 50_000
+    at = np.array([0, 4095, 4097, 4097, 60_000, 70_000])
+    (tmp_path / "shard").write_bytes(token_files.write_shard(np.array([5, 6, 7, 8, 9]), at, ids, 16))
+    s = token_files.Shard(np.memmap(tmp_path / "shard", np.uint8, "r"))
+    assert s.doc_ids.tolist() == [5, 6, 7, 8, 9] and all((s.document(i) == ids[at[i] : at[i + 1]]).all() for i in range(5))
 
 
 def test_edit_distance_and_chains():
