@@ -11,15 +11,19 @@ whole corpus is built; equal strings are brought together first:
    (anchor, context, place), copies follow each other: all but the first of equal contexts are covered whole and stream
    through, so a passage of any number of copies takes no memory.
 3. Distinct contexts of an anchor are cut to the parts whose window hashes come twice, which loses no equal windows. Of
-   these a suffix array is built (linear grouping by Lyndon prefixes), in blocks of many anchors. Neighbouring suffixes that agree on ``length`` bytes are one class, and all its members but the earliest mark
-   their bytes. An anchor with very many distinct contexts instead sends the hashes of its windows on to a second shuffle,
-   where the earliest of each is found by a plain aggregation: no group has to fit into a task.
-4. Marks are united per document and the bytes that stay are hashed.
+   these a suffix array is built (linear grouping by Lyndon prefixes), in blocks of many anchors. Neighbouring suffixes that
+   agree on ``length`` bytes are one class, and all its members but the earliest mark their bytes.
+4. Contexts of an anchor that are too many for a block go into a further round under longer keys: its windows are parted by where
+   in them the anchor lies, and what all windows of a part have in common is their key. Parts get narrower from round to round;
+   in the last a key is a whole window, and equal ones follow each other as in 2. No group has to fit into a task.
+5. Marks are united per document and the bytes that stay are hashed.
+
+An anchor that holds a large share of all rows, known from a sample, is dealt by text as well: of its equal contexts all but the
+first in each part are covered, and the firsts meet in the next round. The sample decides how rows are dealt, never what goes.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import data, doc_id, documents, free_shuffles, keyed, offsets, partitions, python_ready, ranges, slices, stage
+from .common import data, doc_id, documents, free_shuffles, hot_keys, keyed, offsets, partitions, python_ready, ranges, slices, stage
 from .lyndon_suffix_array import suffix_array
 
 K = 32
-#: Bytes of contexts in a suffix array, and of one anchor's distinct contexts before they go on as window hashes.
+#: Bytes of contexts in a suffix array, and of one key's distinct contexts before they go on under longer keys; widths of the parts.
 BLOCK, MOST_CONTEXTS = 1 << 17, 1 << 20
+WIDTHS = (18, 5, 1)
 CHUNK = 1 << 23  # of a very long text
 WHOLE = 1 << 62  # end of the span of a later copy
 
@@ -94,21 +99,32 @@ def _docs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, n
         yield b, data(b.column("text"))[int(o[0]) : int(o[-1])], o - o[0]
 
 
-def _pack(pos: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """Place of an anchor, how far before it its first window begins, and how many windows follow that one."""
-    return pos << 32 | before << 16 | more
+HOT = 1 << 15
 
 
-def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """_id, _rk, places array<long> (packed) of the anchors that come at two places at least. Of equal texts only the first
-    document counts."""
+def _pack(pos: np.ndarray, before: np.ndarray, more: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Place of an anchor, how far before it its first window begins, how many windows follow that one, and whether it is hot."""
+    return pos << 32 | before << 16 | hot.astype(np.int64) * HOT | more
+
+
+def anchor_rows(docs: DataFrame, length: int, hot: np.ndarray, salts: int) -> DataFrame:
+    """h, salt (-1 but for hot anchors; equal texts have equal ones), _id, _rk, pos (packed)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raw, o in _docs(batches):
             at, h, first, last = anchors(raw, o, length)
-            doc = np.searchsorted(o, at, "right") - 1
-            take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("_id").take(take), b.column("_rk").take(take), pa.array(_pack(at - o[doc], at - first, last - first))], ["h", "_id", "_rk", "pos"])
+            h, doc = h.view(np.int64), np.searchsorted(o, at, "right") - 1
+            which = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
+            rk = b.column("_rk").to_numpy()[doc]
+            salt = np.where(which, rk % salts, -1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(salt), b.column("_id").take(pa.array(doc)), pa.array(rk), pa.array(_pack(at - o[doc], at - first, last - first, which))], ["h", "salt", "_id", "_rk", "pos"])
+
+    return keyed(docs).mapInArrow(find, "h long, salt int, _id long, _rk long, pos long")
+
+
+def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
+    """_id, _rk, places array<long> (packed) of the anchors that come at two places at least. Of equal texts only the first
+    document counts."""
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the last row so far: not yet given out, unless its hash came before
@@ -118,27 +134,30 @@ def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
                 continue
             if last is not None:
                 t = pa.Table.from_batches([last, t]).combine_chunks().to_batches()[0]
-            h, r, p = (t.column(c).to_numpy() for c in ("h", "_rk", "pos"))
+            h, s, r, p = (t.column(c).to_numpy() for c in ("h", "salt", "_rk", "pos"))
             fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1]) | (p[1:] != p[:-1])])
             if not fresh.all():  # the same place of an equal text
-                t, h = t.filter(pa.array(fresh)), h[fresh]
-            again = np.concatenate([[False], h[1:] == h[:-1]])
+                t, h, s = t.filter(pa.array(fresh)), h[fresh], s[fresh]
+            again = np.concatenate([[False], (h[1:] == h[:-1]) & (s[1:] == s[:-1])])
             held = last is not None and came
-            keep = again.copy()
+            keep = again | (s >= 0)
             keep[:-1] |= again[1:]
             if held:
                 keep[0] = False  # given out with its batch
-            came = bool(again[-1]) or (held and len(h) == 1)
-            # the last row goes out now if it repeats a former one, else it waits
-            if not again[-1]:
+            came = bool(again[-1]) or s[-1] >= 0 or (held and len(h) == 1)
+            # the last row goes out now if it repeats a former one or is hot, else it waits
+            if not again[-1] and s[-1] < 0:
                 keep[-1] = False
             yield t.filter(pa.array(keep)).select(["_id", "_rk", "pos"])
             last = t.slice(t.num_rows - 1)
 
-    python_ready(docs.sparkSession)
-    found = keyed(docs).mapInArrow(find, "h long, _id long, _rk long, pos long").repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h", "_rk", "pos", "_id")
+    spark = docs.sparkSession
+    python_ready(spark)
+    p = partitions(spark)
+    hot = hot_keys(anchor_rows(docs.sample(0.02, 7), length, np.zeros(0, np.int64), 1), "h")
+    found = anchor_rows(docs, length, hot, p).repartition(p, "h", "salt").sortWithinPartitions("h", "salt", "_rk", "pos", "_id")
     places = stage(found.mapInArrow(repeated, "_id long, _rk long, pos long"), "repeated-anchors")
-    free_shuffles(docs.sparkSession)
+    free_shuffles(spark)
     return places.groupBy("_id", "_rk").agg(F.collect_list("pos").alias("places"))
 
 
@@ -147,7 +166,7 @@ def _cut(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(raw[ranges(begin, size)])])
 
 
-def _contexts(length: int):
+def _contexts(length: int, salts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             o, raw = offsets(b.column("text")), data(b.column("text"))
@@ -155,11 +174,12 @@ def _contexts(length: int):
             doc = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column("places")).to_numpy())
             for part in range(0, len(v), 4000):
                 d, x = doc[part : part + 4000], v[part : part + 4000]
-                at, before, size = x >> 32, x >> 16 & 65535, (x & 65535) + length
-                take = pa.array(d)
+                at, before, size = x >> 32, x >> 16 & 65535, (x & (HOT - 1)) + length
+                rk = b.column("_rk").to_numpy()[d]
+                salt = np.where(x & HOT, rk % salts, -1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [_cut(raw, o[d] + at, np.full(len(d), K)), _cut(raw, o[d] + at - before, size), b.column("_id").take(take), b.column("_rk").take(take), pa.array(at - before)],
-                    ["gram", "ctx", "_id", "_rk", "start"],
+                    [_cut(raw, o[d] + at, np.full(len(d), K)), pa.array(salt), _cut(raw, o[d] + at - before, size), b.column("_id").take(pa.array(d)), pa.array(rk), pa.array(at - before), pa.array(before.astype(np.int32))],
+                    ["gram", "salt", "ctx", "_id", "_rk", "start", "at"],
                 )
 
     return run
@@ -223,22 +243,47 @@ def class_marks(contexts: list[bytes], places: list[tuple[int, int, int]], lengt
     return list(zip(w[new].tolist(), at[new].tolist(), (at[ends] + length).tolist(), strict=True))
 
 
-def _window_keys(context: bytes, length: int) -> list[bytes]:
-    return [hashlib.blake2b(context[i : i + length], digest_size=16).digest() for i in range(len(context) - length + 1)]
+ROW = {"key": "long", "salt": "int", "ctx": "binary", "_id": "long", "_rk": "long", "start": "long", "at": "int"}
+OUT = ROW | {"begin": "long", "end": "long"}
+
 
+def narrowed(t: pa.Table, length: int, width: int) -> pa.RecordBatch:
+    """Contexts as rows of ROW under longer keys: of each, its windows parted by how far before the anchor they begin, ``width``
+    of these distances to a part; the key is the hash of the bytes that all windows of such a part have in common."""
+    from xxhash import xxh64_intdigest as h
 
-def _marks(length: int, most_contexts: int = MOST_CONTEXTS):
-    """Sorted (key, ctx, _id, _rk, start) to marks (_id, _rk, begin, end) and, of crowded anchors, windows (digest)."""
+    rows: dict[str, list] = {c: [] for c in ROW}
+    for c, i, r, s, at in zip(*(t.column(x).to_pylist() for x in ("ctx", "_id", "_rk", "start", "at")), strict=True):
+        count = len(c) - length + 1
+        for near in range(max(0, at - count + 1) // width * width, at + 1, width):
+            far = near + width - 1  # windows begin near .. far bytes before the anchor
+            lo, hi = max(0, at - far), min(count - 1, at - near)
+            if lo <= hi:
+                key = h(c[at - near : at - far + length], near + 1)
+                for name, x in zip(ROW, (key - (key >> 63 << 64), -1, c[lo : hi + length], i, r, s + lo, at - lo), strict=True):
+                    rows[name].append(x)
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(v, kinds[ROW[c]]) for c, v in rows.items()], list(ROW))
 
-    def out(cols: list, digests: list | None = None) -> pa.RecordBatch:
-        arrays = [pa.array(c, pa.int64()) for c in cols]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(digests, pa.binary()) if digests else pa.nulls(len(arrays[0]), pa.binary())], ["_id", "_rk", "begin", "end", "digest"])
 
-    def windows(t: pa.Table | pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for c, i, r, s in zip(*(t.column(x).to_pylist() for x in ("ctx", "_id", "_rk", "start")), strict=True):
-            keys = _window_keys(c, length)
-            n = len(keys)
-            yield out([[i] * n, [r] * n, range(s, s + n), range(s + length, s + length + n)], keys)
+def _marks(length: int, width: int | None, most_contexts: int = MOST_CONTEXTS):
+    """Rows of ROW sorted by (key, salt, ctx, _id, _rk, start) to marks (begin and end set) and rows for a further round: firsts of
+    salted keys, and contexts of crowded keys in parts of ``width`` (None: there is no further round)."""
+
+    def marks(i: np.ndarray, r: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+        n = len(i)
+        none = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+        cols = {c: pa.nulls(n, none[k]) for c, k in ROW.items()} | {"_id": pa.array(i), "_rk": pa.array(r), "begin": pa.array(begin), "end": pa.array(end)}
+        return pa.RecordBatch.from_arrays([cols[c] for c in OUT], list(OUT))
+
+    def onward(t: pa.RecordBatch | pa.Table) -> pa.RecordBatch:
+        cols = [t.column(c) for c in ROW]
+        cols = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols]
+        return pa.RecordBatch.from_arrays([*cols, *[pa.nulls(t.num_rows, pa.int64())] * 2], list(OUT))
+
+    def passed(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        for i in range(0, t.num_rows, 2000):
+            yield onward(narrowed(t.slice(i, 2000), length, width))
 
     def of_block(t: pa.Table) -> Iterator[pa.RecordBatch]:
         key = t.column("key").to_numpy()
@@ -247,9 +292,9 @@ def _marks(length: int, most_contexts: int = MOST_CONTEXTS):
         ctx = t.column("ctx").combine_chunks()
         o = offsets(ctx)
         held = o[np.append(begin[1:], len(key))] - o[begin]
-        many = np.repeat(held > most_contexts, size)
+        many = np.repeat((held > most_contexts) & (width is not None), size)
         if many.any():
-            yield from windows(t.filter(pa.array(many)))
+            yield from passed(t.filter(pa.array(many)))
         some = np.flatnonzero(np.repeat(size > 1, size) & ~many)
         if not len(some):
             return
@@ -263,28 +308,35 @@ def _marks(length: int, most_contexts: int = MOST_CONTEXTS):
         hits = class_marks([raw[u:v].tobytes() for u, v in zip(x, y, strict=True)], list(zip(i.tolist(), r.tolist(), s.tolist(), strict=True)), length)
         if hits:
             c, u, v = np.array(hits, np.int64).T
-            yield out([i[c], r[c], s[c] + u, s[c] + v])
+            yield marks(i[c], r[c], s[c] + u, s[c] + v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # key and context of the last row
-        crowded = None  # the anchor whose contexts are passed on as windows
+        last = None  # key, salt and context of the last row
+        crowded = None  # the key whose contexts are passed on
         pending: list[pa.RecordBatch] = []
         held = 0
         for b in batches:
             if not b.num_rows:
                 continue
-            key, ctx = b.column("key").to_numpy(), b.column("ctx")
+            key, salt, ctx = b.column("key").to_numpy(), b.column("salt").to_numpy(), b.column("ctx")
             new = np.ones(b.num_rows, bool)
-            new[1:] = (key[1:] != key[:-1]) | ~pc.equal(ctx[1:], ctx[:-1]).to_numpy(zero_copy_only=False)
-            new[0] = last is None or key[0] != last[0] or ctx[0].as_py() != last[1]
-            last = key[-1], ctx[-1].as_py()
-            if not new.all():  # an equal context comes before: the whole of it goes
-                i, r, s = (b.column(c).to_numpy()[~new] for c in ("_id", "_rk", "start"))
-                yield out([i, r, s, s + np.diff(offsets(ctx))[~new]])
-            b = b.filter(pa.array(new))
+            new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | ~pc.equal(ctx[1:], ctx[:-1]).to_numpy(zero_copy_only=False)
+            new[0] = last is None or (key[0], salt[0]) != last[0] or ctx[0].as_py() != last[1]
+            place = np.stack([b.column(c).to_numpy() for c in ("_id", "_rk", "start")], 1)
+            nth = np.cumsum(new) - 1 + (not new[0])
+            first = np.concatenate([np.zeros((0, 3), np.int64) if new[0] else last[2][None], place[new]])
+            last = (key[-1], salt[-1]), ctx[-1].as_py(), first[-1]
+            # an equal context comes before: the whole of it goes, unless it is that of a row which repeats the first
+            again = ~new & (place != first[nth]).any(1)
+            if again.any():
+                i, r, s = place[again].T
+                yield marks(i, r, s, s + np.diff(offsets(ctx))[again])
+            if (first := new & (salt >= 0)).any():
+                yield onward(b.filter(pa.array(first)))
+            b = b.filter(pa.array(new & (salt < 0)))
             if crowded is not None:
                 more = int((b.column("key").to_numpy() == crowded).sum())
-                yield from windows(b.slice(0, more))
+                yield from passed(pa.Table.from_batches([b.slice(0, more)]))
                 b = b.slice(more)
                 if b.num_rows:
                     crowded = None
@@ -298,8 +350,8 @@ def _marks(length: int, most_contexts: int = MOST_CONTEXTS):
                 if cut:
                     yield from of_block(t.slice(0, cut).combine_chunks())
                 t = t.slice(cut).combine_chunks()
-                if t.column("ctx").nbytes > most_contexts:
-                    yield from windows(t)
+                if t.column("ctx").nbytes > most_contexts and width is not None:
+                    yield from passed(t)
                     crowded, t = int(key[-1]), t.slice(0, 0)
                 pending, held = t.to_batches(), 0
         if pending and (t := pa.Table.from_batches(pending).combine_chunks()).num_rows:
@@ -321,16 +373,23 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     """_id, _rk, spans array<struct<b,e>>: byte ranges that go, not yet united."""
     spark = docs.sparkSession
     places = repeated_anchors(docs, length)
-    ctx = keyed(docs).join(places.hint("merge"), ["_id", "_rk"]).select("_id", "_rk", "text", "places").mapInArrow(_contexts(length), "gram binary, ctx binary, _id long, _rk long, start long")
-    ctx = ctx.select(F.xxhash64("gram").alias("key"), "ctx", "_id", "_rk", "start")
-    ordered = ctx.repartition(partitions(spark), "key").sortWithinPartitions("key", "ctx", "_id", "_rk", "start")
-    marks = stage(ordered.mapInArrow(_marks(length), "_id long, _rk long, begin long, end long, digest binary"), "repeat-marks")
-    free_shuffles(spark)
-    windows = marks.where("digest IS NOT NULL")
-    least = windows.groupBy("digest").agg(F.min(F.struct("_id", "_rk", "begin")).alias("top"))
-    later = windows.join(least, "digest").where(F.struct("_id", "_rk", "begin") != F.col("top")).select("_id", "_rk", "begin", "end")
+    p = partitions(spark)
+    ctx = keyed(docs).join(places.hint("merge"), ["_id", "_rk"]).select("_id", "_rk", "text", "places").mapInArrow(_contexts(length, p), "gram binary, salt int, ctx binary, _id long, _rk long, start long, at int")
+    rows = ctx.select(F.xxhash64("gram").alias("key"), *list(ROW)[1:])
+    found, kinds = None, ", ".join(f"{c} {k}" for c, k in OUT.items())
+    for n, width in enumerate([*WIDTHS, None]):
+        ordered = rows.repartition(p, "key", "salt").sortWithinPartitions("key", "salt", "ctx", "_id", "_rk", "start")
+        out = stage(ordered.mapInArrow(_marks(length, width), kinds), f"repeat-marks{n}")
+        free_shuffles(spark)
+        new = out.where("begin IS NOT NULL").select("_id", "_rk", "begin", "end")
+        found = new if found is None else found.union(new)
+        rest = out.where("begin IS NULL")
+        if not rest.take(1):
+            break
+        # firsts of hot keys meet under their own key; contexts of crowded ones have longer keys by now
+        rows = rest.select("key", F.lit(-1).alias("salt"), *list(ROW)[2:])
     copies = later_copies(docs).select("_id", "_rk", F.lit(0).cast("long").alias("begin"), F.lit(WHOLE).cast("long").alias("end"))
-    spans = marks.where("digest IS NULL").select("_id", "_rk", "begin", "end").union(later).union(copies)
+    spans = found.union(copies)
     return spans.groupBy("_id", "_rk").agg(F.collect_set(F.struct(F.col("begin").alias("b"), F.col("end").alias("e"))).alias("spans"))
 
 

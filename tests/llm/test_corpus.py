@@ -94,18 +94,37 @@ def brute_suffix(rows, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize("crowded", [None, 0])
-def test_suffix_dedup(spark, rows, docs, monkeypatch, crowded):
+@pytest.mark.parametrize("how", ["plain", "crowded", "hot", "chunks"])
+def test_suffix_dedup(spark, rows, docs, monkeypatch, how):
     one = [r for r in rows if r[1] != "same id, other text"]
-    if crowded is not None:  # every anchor takes the path of those with very many contexts
-        plain = suffix_dedup._marks
-        monkeypatch.setattr(suffix_dedup, "_marks", lambda length: plain(length, crowded))
+    plain, anchors = suffix_dedup._marks, suffix_dedup.anchors
+    if how == "crowded":  # every anchor takes the path of those with very many contexts
+        monkeypatch.setattr(suffix_dedup, "_marks", lambda length, width: plain(length, width, 0))
+    if how == "hot":  # every other anchor is dealt by text as well
+        texts = [(r[1] or "").encode() for r in one]
+        h = np.unique(np.concatenate([anchors(np.frombuffer(t, np.uint8), np.array([0, len(t)]), 100)[1] for t in texts])).view(np.int64)
+        monkeypatch.setattr(suffix_dedup, "hot_keys", lambda *a: h[::2])
+    if how == "chunks":  # a very long text goes through in parts
+        for b in (np.frombuffer(t.encode(), np.uint8) for t in ("ab cd " * 3000, " ".join(str(i * i) for i in range(4000)))):
+            o = np.array([0, 4000, len(b)])
+            whole = anchors(b, o, 100)
+            monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
+            assert all((x == y).all() for x, y in zip(whole, suffix_dedup.anchors(b, o, 100), strict=True))
+            monkeypatch.setattr(suffix_dedup, "CHUNK", 1 << 23)
+        return
     d = spark.createDataFrame(one, SCHEMA).repartition(3)
     out = suffix_dedup.suffix_dedup(d, 100).select(F.coalesce("_id", F.lit(-1)), "n_bytes", "n_removed", (F.size("spans") / 2).cast("long"), F.sha2("kept", 256)).distinct().collect()
     got = sorted((-1 if r[0] == -(1 << 63) else r[0], *r[1:]) for r in out)
     assert got == brute_suffix(one, 100)
 
 
+def test_a_repeated_row_is_no_earlier_copy_of_itself(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    d = spark.createDataFrame([(1, text), (1, text), (2, text + " and more")], "doc_id long, text string")
+    got = sorted((r["_id"], r["n_removed"]) for r in suffix_dedup.suffix_dedup(d, 100).collect())
+    assert got == [(1, 0), (1, 0), (2, len(text))]
+
+
 def test_exact_dedup_index_continues(spark, docs, tmp_path):
     index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), 4)
     first = exact_dedup.exact_dedup(docs, index)
