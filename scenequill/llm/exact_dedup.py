@@ -86,7 +86,7 @@ def op3_exact_dedup(spark, sf_dir) -> DataFrame:
     index.close()
     discard(first)
     # the two batches' counts of a digest add up; a sum over two rows at most for each digest and task
-    sizes = both.groupBy("digest").agg(F.count("*").alias("group_size"))
+    sizes = stage(both.groupBy("digest").agg(F.count("*").alias("group_size")), "group-sizes")
     out = both.drop("group_size").join(sizes.hint("merge"), "digest")
     return out.select(doc_id(), F.nullif(F.col("keep_id"), F.lit(NO_ID)).alias("keep_id"), "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
