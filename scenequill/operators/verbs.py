@@ -18,8 +18,8 @@ def rows_by_number(df: DataFrame, numbers: Iterable[int], number: str = "nth") -
 
 
 def capped(df: DataFrame, most: int | None) -> DataFrame:
-    """At most so many rows; None or a negative number: all."""
-    return df if most is None or most < 0 else df.limit(most)
+    """At most so many rows; None, 0 or a negative number: all."""
+    return df.limit(most) if most and most > 0 else df
 
 
 def only(df: DataFrame, *columns: str) -> DataFrame:
