@@ -189,6 +189,7 @@ def numbered(df: DataFrame, *order: str) -> DataFrame:
     spark = df.sparkSession
     parts = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
     parts = parts.withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    parts = parts.persist()  # read twice, and both times it must be parted at the same places
     sizes = parts.groupBy("_part").agg((F.max("_in") + 1).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = sizes.select("_part", before.alias("_base"))  # a row for each partition
