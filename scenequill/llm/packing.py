@@ -170,7 +170,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     # a row for each length and task
     below = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = stage(counts.select("length", "part", below.alias("base")), "piece-bases")
-    ranks = cut.select("piece", "length", "part", "nth").join(bases, ["length", "part"]).select("piece", (F.col("base") + F.col("nth")).cast("long").alias("rank"))
+    ranks = cut.select("piece", "length", "part", "nth").join(bases.hint("merge"), ["length", "part"]).select("piece", (F.col("base") + F.col("nth")).cast("long").alias("rank"))
     ranked = cut.join(stage(ranks, "piece-ranks").hint("merge"), "piece")
     shared = spark.sparkContext.broadcast(places)  # its size depends on the window, not on the corpus
 
