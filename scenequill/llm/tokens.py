@@ -18,7 +18,7 @@ import pyarrow as pa
 from .common import data, offsets, ranges
 
 END = 1
-MOST_CACHED, LONGEST_CACHED, JOINED, MANY = 600_000, 48, 64, 16384
+MOST_CACHED, LONGEST_CACHED, JOINED, MANY = 1_000_000, 48, 64, 16384
 
 _SAFE2 = np.zeros(256, bool)  # lead bytes of two-byte characters that are no white space
 _SAFE2[0xC3:0xE0] = True
@@ -177,7 +177,7 @@ class Encoder:
         index = np.array(found, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
         count = self.length_of[index]
         ids = self.flat[ranges(self.at[index], count)]
-        if self.used > 8 * MOST_CACHED or any(len(u) > LONGEST_CACHED * 1000 for u in fresh):
+        if self.used > 5 * MOST_CACHED or any(len(u) > LONGEST_CACHED * 1000 for u in fresh):
             self.clear()  # texts without spaces
         return start, count, ids
 
