@@ -8,6 +8,9 @@ Conventions that hold for every operator of this subpackage
 * Rows are told apart by (doc_id, 64-bit digest of the text): rows that share a doc_id but not the text are
   different documents, rows that share both are repeats of one document, and each row gets its own result row.
 * An empty table gives an empty result with the full schema.
+* A text of any length is handled whole. Batches are cut so that a long text stands alone in one; seeds, anchors and packed pieces
+  of a text beyond some megabytes are found part by part, with the overlap that makes the parts equal to the whole.
+* Ties go to the smaller doc_id, or as the operator's docstring says.
 """
 
 from __future__ import annotations
@@ -134,7 +137,8 @@ def free_shuffles(spark: SparkSession) -> None:
 
 
 def python_ready(spark: SparkSession) -> None:
-    """Before a step in Python: the package goes to the executors, and Arrow batches stay small. Arrow batches are bounded by rows; whole texts can be long, so fewer rows to a batch than Spark's default."""
+    """Before a step in Python: the package goes to the executors, and Arrow batches stay small, as they are bounded by rows and
+    whole texts can be long. Plans run after the operator has returned, so the session keeps the smaller bound."""
     ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 2000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
