@@ -41,3 +41,13 @@ def choices(array: Column, k: int, *key: Column | str) -> Column:
 def sql_draw(n: int, *key: str) -> str:
     """The same as an SQL expression."""
     return f"(CAST('0x' || substr(md5(concat_ws(':', {', '.join(key)})), 1, 15) AS BIGINT) % {n})"
+
+
+def half_up(c: Column, places: int = 0) -> Column:
+    """Rounded by plain arithmetic of doubles, so that every engine gives the same; ties go up."""
+    scale = float(10**places)
+    return F.floor(c * scale + 0.5) / scale
+
+
+def sql_half_up(c: str, places: int = 0) -> str:
+    return f"(floor(({c}) * {float(10**places)!r}::DOUBLE + 0.5) / {float(10**places)!r}::DOUBLE)"

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .draws import draw
+from .draws import draw, half_up
 
 AXES = ("x", "y", "z")
 OBJECT = ["scene_id", "object_id"]
@@ -72,9 +72,9 @@ def with_human_distance(df: DataFrame, out: str, metres: Column, *key: Column) -
     t = t.withColumns({"_first": F.col("_u") < F.when(F.col("_m") < 3, 6).otherwise(7), "_small": F.col("_m") < 1})
     unit = F.when(F.col("_first"), F.when(F.col("_small"), "centimeters").otherwise("meters")).otherwise(F.when(F.col("_small"), "inches").otherwise("feet"))
     factor = F.when(F.col("_first"), F.when(F.col("_small"), 100.0).otherwise(1.0)).otherwise(F.when(F.col("_small"), 39.37).otherwise(3.281))
-    t = t.withColumns({"_v": F.round(F.col("_m") * factor, 2), "_unit": unit})
+    t = t.withColumns({"_v": half_up(F.col("_m") * factor, 2), "_unit": unit})
     v, places = F.col("_v"), F.col("_places")
-    said = F.when(F.isnan(v) | (v == 0), v).when(places == 0, F.round(v, 0)).when(places == 1, F.round(v, 1)).otherwise(v)
+    said = F.when(F.isnan(v) | (v == 0), v).when(places == 0, half_up(v)).when(places == 1, half_up(v, 1)).otherwise(v)
     return t.withColumn(out, F.concat(said.cast("string"), F.lit(" "), "_unit")).select(*[c for c in own if c != out], out)
 
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import pick
+from ..functions.draws import half_up, pick
 from ..functions.text import fill
 from .dialogue import messages_of
 
@@ -55,7 +55,7 @@ def boxes(points: DataFrame, threshold: float | None = 0.35) -> DataFrame:
 
 
 def two(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    return F.format_string("%.2f", half_up(c, 2))
 
 
 def point3d(centre: Column, extent: Column, label: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import imaging as I
 from ..functions import text as T
-from ..functions.draws import sql_draw
+from ..functions.draws import sql_draw, sql_half_up
 from ..operators import boxes, correspondences, dialogue, models, poses, questions, traces, verbs
 from . import views as V
 from .registry import query
@@ -16,7 +16,7 @@ from .registry import query
 
 _B_Q = ", ".join(V.quoted(q) for q in boxes.QUESTIONS[:3])
 _B_A = ", ".join(V.quoted(a) for a in boxes.ANSWERS)
-_f = lambda c: f"printf('%.2f', {c})"
+_f = lambda c: f"printf('%.2f', {sql_half_up(c, 2)})"
 _POINT3D = f"""'<point3d x="' || {_f("cx")} || '" y="' || {_f("cy")} || '" z="' || {_f("cz")} || '" extent="' || {_f("ex")} || ',' || {_f("ey")} || ',' || {_f("ez")} || '" alt="' || l || '"/>'"""
 _BRACKET = f"'[[' || {_f('cx')} || ',' || {_f('cy')} || ',' || {_f('cz')} || '],[' || {_f('ex')} || ',' || {_f('ey')} || ',' || {_f('ez')} || ']]'"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import imaging
 from ..functions import text as T
-from ..functions.draws import sql_draw
+from ..functions.draws import sql_draw, sql_half_up
 from ..operators import benchmarks, boxes, correspondences, curate, dialogue, meshes, poses, questions, reports, traces
 from ..sources import tables
 from . import views as V
@@ -90,10 +90,10 @@ def _said(length: str, key: str) -> str:
     """SQL: a length in words."""
     m = f"({length}) * 10"
     first = f"({sql_draw(10, key, V.quoted('unit'))} < CASE WHEN {m} < 3 THEN 6 ELSE 7 END)"
-    v = f"round({m} * CASE WHEN {first} THEN CASE WHEN {m} < 1 THEN 100.0::DOUBLE ELSE 1.0::DOUBLE END ELSE CASE WHEN {m} < 1 THEN 39.37::DOUBLE ELSE 3.281::DOUBLE END END, 2)"
+    v = sql_half_up(f"{m} * CASE WHEN {first} THEN CASE WHEN {m} < 1 THEN 100.0::DOUBLE ELSE 1.0::DOUBLE END ELSE CASE WHEN {m} < 1 THEN 39.37::DOUBLE ELSE 3.281::DOUBLE END END", 2)
     unit = f"CASE WHEN {first} THEN CASE WHEN {m} < 1 THEN 'centimeters' ELSE 'meters' END ELSE CASE WHEN {m} < 1 THEN 'inches' ELSE 'feet' END END"
     places = sql_draw(3, key, V.quoted("places"))
-    return f"CAST(CASE WHEN {v} = 0 THEN {v} WHEN {places} = 0 THEN round({v}, 0) WHEN {places} = 1 THEN round({v}, 1) ELSE {v} END AS VARCHAR) || ' ' || {unit}"
+    return f"CAST(CASE WHEN {v} = 0 THEN {v} WHEN {places} = 0 THEN {sql_half_up(v)} WHEN {places} = 1 THEN {sql_half_up(v, 1)} ELSE {v} END AS VARCHAR) || ' ' || {unit}"
 
 
 _NOUN_A, _NOUN_B = (V.NOUN.replace("object_id", f"{x}_object_id") for x in "ab")
