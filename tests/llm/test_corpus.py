@@ -404,7 +404,8 @@ def test_edit_distance_and_chains():
     for _ in range(300):
         x, y = ([random.randint(0, 3) for _ in range(random.randint(0, 70))] for _ in range(2))
         assert chain_dedup.edit_distance(x, y) == slow(x, y)
-    assert chain_dedup.chains([0, 10, 20, 25], [100, 110, 5, 125]) == [(0, 31, 100, 131)]
+    assert chain_dedup.chains([0, 10, 20, 25], [100, 110, 5, 125], [5.0] * 4) == [(0, 30, 100, 130, 15.0), (20, 25, 5, 10, 5.0)]
+    assert [c[:4] for c in chain_dedup.chains([0, 200, 210], [0, 200, 210], [60.0] * 3)] == [(200, 215, 200, 215), (0, 5, 0, 5)]  # a gap parts
 
 
 def test_fuzzy_passages(spark, sf, rows):
