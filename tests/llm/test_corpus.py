@@ -574,3 +574,23 @@ def test_pipeline_rows_against_brute_force(spark, tmp_path):
             at += length
         full.append(at)
     assert max(full) <= 2048 and sum(n < 2048 for n in full) <= 1
+
+
+def test_components_go_round_with_a_forest_of_the_edges(spark, monkeypatch):
+    from scenequill.llm import components
+
+    seen, stage = [], components.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(components, "stage", counted)
+    clique = [(i, j) for i in range(10, 70) for j in range(10, i)]
+    edges = [*clique, *[(i, i + 1) for i in range(100, 120)], (7, 7), (300, 200), (200, 300)]
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 10 for i in range(11, 70)} | {i: 100 for i in range(101, 121)} | {300: 200}
+    rounds = [n for name, n in seen if name == "stars"]
+    before = seen[[name for name, _ in seen].index("stars") - 1][1]
+    assert before == 59 + 20 + 1 and max(rounds) <= before
