@@ -250,25 +250,20 @@ def table_fingerprints(text: bytes, tables: int = TABLES + CHECKS) -> list[int]:
     return np.packbits(2 * ones > len(h), bitorder="little").view("<i8").tolist()
 
 
-def _bands(all_of_them: bool) -> Callable:
-    """node, fps, label to a row for each 16-bit band: key, node, two check fingerprints, label, and all fingerprints if asked."""
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, fps to a row for each 16-bit band: key, node and two check fingerprints."""
+    for b in batches:
+        for i in range(0, b.num_rows, 500):
+            part = b.slice(i, 500)
+            fps = np.array(part.column("fps").to_pylist(), np.int64)
+            values = np.ascontiguousarray(fps[:, :-CHECKS]).view(np.uint16).astype(np.int64)
+            n = values.shape[1]
+            key = (np.arange(n) << 16) + values
+            out = [key.ravel(), *(np.repeat(x, n) for x in (part.column("node").to_numpy(), fps[:, -2], fps[:, -1]))]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, out)], BAND)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(0, b.num_rows, 500):
-                part = b.slice(i, 500)
-                fps = np.array(part.column("fps").to_pylist(), np.int64)
-                values = np.ascontiguousarray(fps[:, :-CHECKS]).view(np.uint16).astype(np.int64)
-                n = values.shape[1]
-                key = (np.arange(n) << 16) + values
-                out = [key.ravel(), *(np.repeat(x, n) for x in (part.column("node").to_numpy(), fps[:, -2], fps[:, -1], part.column("label").to_numpy()))]
-                every = pa.array([f.tobytes() for f in fps for _ in range(n)] if all_of_them else [None] * len(out[0]), pa.binary())
-                yield pa.RecordBatch.from_arrays([*map(pa.array, out), every], BAND)
-
-    return run
 
-
-BAND = ["key", "node", "c0", "c1", "label", "every"]
+BAND = ["key", "node", "c0", "c1"]
 
 
 def _differ(c0: np.ndarray, c1: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> np.ndarray:
@@ -311,73 +306,83 @@ def _tree(node: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> tuple[np.ndarray,
     return (np.concatenate(us), np.concatenate(vs)) if us else (node[:0], node[:0])
 
 
-def _candidates(across: bool) -> Callable:
-    """Rows sorted by key to candidates u, v, long: all pairs of a short run, a spanning forest of a long one; with
-    ``across`` all pairs whose labels differ."""
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key to candidates u, v, long: all pairs of a short run, a spanning forest of a long one."""
 
     def emit(u: np.ndarray, v: np.ndarray, long: bool) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(np.full(len(u), int(long), np.int64))], ["u", "v", "long"])
 
-    def runs_of(key: np.ndarray, node: np.ndarray, c0: np.ndarray, c1: np.ndarray, label: np.ndarray, every: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def runs_of(key: np.ndarray, node: np.ndarray, c0: np.ndarray, c1: np.ndarray) -> Iterator[pa.RecordBatch]:
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(begin, len(key)))
         keep = np.repeat((size > 1) & (size <= FEW), size)
-        k, n, x, y, t, z = (c[keep] for c in (key, node, c0, c1, label, every))
+        k, n, x, y = (c[keep] for c in (key, node, c0, c1))
         for d in range(1, FEW):
             same = np.flatnonzero(k[d:] == k[:-d])
             if not len(same):
                 break
-            near = same[(_differ(x[same], y[same], x[same + d], y[same + d]) <= NEAR) & (not across or t[same] != t[same + d])]
-            if across and len(near):
-                near = near[~_far(z[near], z[near + d])]
+            near = same[_differ(x[same], y[same], x[same + d], y[same + d]) <= NEAR]
             if len(near):
                 yield emit(n[near], n[near + d], False)
         for i in np.flatnonzero(size > FEW):
             s = slice(begin[i], begin[i] + size[i])
-            n, x, y, t, z = node[s], c0[s], c1[s], label[s], every[s]
-            if not across:
-                u, v = _tree(n, x, y)
-                if len(u):
-                    yield emit(u, v, True)
-            elif (t != t[0]).any():
-                step = max(1, (1 << 20) // len(n))
-                for j in range(0, len(n), step):
-                    r, c = np.nonzero((_differ(x[j : j + step, None], y[j : j + step, None], x, y) <= NEAR) & (t[j : j + step, None] < t))
-                    for q in range(0, len(r), 1 << 16):
-                        u, v = j + r[q : q + (1 << 16)], c[q : q + (1 << 16)]
-                        ok = ~_far(z[u], z[v])
-                        if ok.any():
-                            yield emit(n[u[ok]], n[v[ok]], True)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []  # rows that may belong to a run which goes on
-        for b in batches:
-            if not b.num_rows:
-                continue
-            cols = [b.column(c).to_numpy() for c in BAND[:-1]]
-            every = b.column("every").drop_null()
-            cols.append(np.frombuffer(b"".join(every.to_pylist()), np.uint64).reshape(b.num_rows, -1) if len(every) else np.zeros((b.num_rows, 0), np.uint64))
-            if cols[0][-1] != (held[0][0][0] if held else cols[0][0]) or not held and cols[0][-1] != cols[0][0]:
-                cut = int(np.searchsorted(cols[0], cols[0][-1]))
-                yield from runs_of(*(np.concatenate([*(h[i] for h in held), c[:cut]]) for i, c in enumerate(cols)))
-                held, cols = [], [c[cut:] for c in cols]
-            held.append(cols)
-        if held:
-            yield from runs_of(*(np.concatenate([h[i] for h in held]) for i in range(len(BAND))))
+            u, v = _tree(node[s], c0[s], c1[s])
+            if len(u):
+                yield emit(u, v, True)
 
-    return run
+    held: list[list[np.ndarray]] = []  # rows that may belong to a run which goes on
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(c).to_numpy() for c in BAND]
+        if cols[0][-1] != (held[0][0][0] if held else cols[0][0]) or not held and cols[0][-1] != cols[0][0]:
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            yield from runs_of(*(np.concatenate([*(h[i] for h in held), c[:cut]]) for i, c in enumerate(cols)))
+            held, cols = [], [c[cut:] for c in cols]
+        held.append(cols)
+    if held:
+        yield from runs_of(*(np.concatenate([h[i] for h in held]) for i in range(len(BAND))))
 
 
-def _found(nodes: DataFrame, across: bool, name: str) -> DataFrame:
-    """Staged, distinct candidates u, v, long of ``nodes`` (node, fps, label)."""
+def _found(nodes: DataFrame, name: str) -> DataFrame:
+    """Staged, distinct candidates u, v, long of ``nodes`` (node, fps)."""
     spark = nodes.sparkSession
-    rows = nodes.mapInArrow(_bands(across), "key long, node long, c0 long, c1 long, label long, every binary")
+    rows = nodes.mapInArrow(_bands, "key long, node long, c0 long, c1 long")
     rows = rows.repartition(partitions(spark), "key").sortWithinPartitions("key")
-    return stage(rows.mapInArrow(_candidates(across), "u long, v long, long long").groupBy("u", "v").agg(F.max("long").alias("long")), name)
+    return stage(rows.mapInArrow(_candidates, "u long, v long, long long").groupBy("u", "v").agg(F.max("long").alias("long")), name)
 
 
-def _verified(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """Staged candidates u, v with ``ok``: whether their texts are alike. ``nodes``: node, _id, _rk."""
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by tree (node, label, fps, own) to links u, v: of all pairs of a tree those that are alike and that neither their
+    labels nor links before have connected. A pair is verified where it is found, so rows are fewer than nodes."""
+
+    def links_of(rows: list[dict]) -> pa.RecordBatch:
+        every = np.array([x["fps"] for x in rows], np.int64).view(np.uint64)
+        own = [np.frombuffer(x["own"], np.uint64) for x in rows]
+        label = np.unique([x["label"] for x in rows], return_inverse=True)[1]
+        us, vs = [], []
+        for i in range(len(rows) - 1):
+            j = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+            for k in j[~_far(every[i : i + 1], every[j])].tolist():
+                if label[k] != label[i] and alike(own[i], own[k]):
+                    us.append(rows[i]["node"])
+                    vs.append(rows[k]["node"])
+                    label[label == label[k]] = label[i]
+        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    held: list[dict] = []
+    for b in batches:
+        for x in b.to_pylist():
+            if held and held[0]["tree"] != x["tree"]:
+                yield links_of(held)
+                held = []
+            held.append(x)
+    if held:
+        yield links_of(held)
+
+
+def _verified(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Staged candidates u, v with ``ok``: whether their texts are alike. ``nodes``: node, _id, _rk. Also the staged sets (node, own)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -394,26 +399,29 @@ def _verified(candidates: DataFrame, nodes: DataFrame, docs: DataFrame, name: st
     texts = keyed(docs).join(ids.join(nodes, "node"), ["_id", "_rk"]).select("node", "text").dropDuplicates(["node"])
     own = stage(texts.mapInArrow(sets, "node long, own binary"), f"{name}-sets")
     a, z = own.select(F.col("node").alias("u"), F.col("own").alias("a")), own.select(F.col("node").alias("v"), F.col("own").alias("z"))
-    return stage(candidates.join(a, "u").join(z, "v").select("u", "v", "a", "z").mapInArrow(judge, "u long, v long, ok boolean"), name)
+    return stage(candidates.join(a, "u").join(z, "v").select("u", "v", "a", "z").mapInArrow(judge, "u long, v long, ok boolean"), name), own
 
 
 def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``nodes`` (node, fps, _id, _rk) to links u, v that connect what candidates of at least ALIKE connect.
 
-    Long runs first give a spanning forest, whose links are verified; then, among the nodes of such forests, all pairs that
-    these links have not connected. So a large group of close copies costs what it has members."""
-    first = _found(nodes.select("node", "fps", F.lit(0).cast("long").alias("label")), False, "near-candidates")
-    judged = _verified(first.select("u", "v"), nodes.select("node", "_id", "_rk"), docs, "near-judged")
+    Long runs first give a spanning forest, whose links are verified. Where one of a tree's links does not hold, all pairs of its
+    nodes that links have not connected are compared, in one place: two nodes of a long run that could be alike are always
+    in one tree. So no row is made for a pair, and a large group costs rows as it has members."""
+    first = _found(nodes.select("node", "fps"), "near-candidates")
+    judged, own = _verified(first.select("u", "v"), nodes.select("node", "_id", "_rk"), docs, "near-judged")
     links = judged.where("ok").select("u", "v")
-    failed = first.where("long = 1").join(judged.where("NOT ok"), ["u", "v"])
+    forest = first.where("long = 1")
+    failed = forest.join(judged.where("NOT ok"), ["u", "v"])
     if not failed.take(1):
         return links
-    forest = first.where("long = 1")
     of = forest.select(F.col("u").alias("node")).union(forest.select("v")).distinct()
-    labels = of.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("label"))
-    more = _found(nodes.select("node", "fps").join(labels, "node").select("node", "fps", "label"), True, "near-across")
-    more = stage(more.select("u", "v").join(judged, ["u", "v"], "left_anti"), "near-more")  # read three times
-    return links.union(_verified(more, nodes.select("node", "_id", "_rk"), docs, "near-across-judged").where("ok").select("u", "v"))
+    trees = of.join(components(forest.select("u", "v")), "node", "left").select("node", F.coalesce("root", "node").alias("tree"))
+    open_trees = trees.join(failed.select(F.col("u").alias("node")).distinct(), "node").select("tree").distinct()
+    labels = trees.join(open_trees, "tree").join(components(links), "node", "left").select("node", "tree", F.coalesce("root", "node").alias("label"))
+    rows = labels.join(nodes.select("node", "fps"), "node").join(own, "node").select("tree", "node", "label", "fps", "own")
+    rows = rows.repartition(partitions(docs.sparkSession), "tree").sortWithinPartitions("tree", "node")
+    return links.union(stage(rows.mapInArrow(_within, "u long, v long"), "near-within"))
 
 
 def near_dedup(docs: DataFrame, tables: int = TABLES) -> DataFrame:

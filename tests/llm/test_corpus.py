@@ -594,3 +594,21 @@ def test_components_go_round_with_a_forest_of_the_edges(spark, monkeypatch):
     rounds = [n for name, n in seen if name == "stars"]
     before = seen[[name for name, _ in seen].index("stars") - 1][1]
     assert before == 59 + 20 + 1 and max(rounds) <= before
+
+
+def test_near_dedup_makes_no_row_for_each_pair_of_a_large_group(spark, monkeypatch):
+    seen, stage = {}, simhash.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        seen[name] = seen.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(5000)}" for _ in range(300)]
+    texts = {i: " ".join(edited(base, 5, rng)) for i in range(200)}  # just not alike to one another
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.near_dedup(docs).collect()} == set(near_copy_groups(texts).values())
+    print(seen)
+    assert seen["table-simhash"] == 200 and sum(n for name, n in seen.items() if name.startswith(("near-within", "near-across", "near-more"))) < 200
