@@ -1,6 +1,7 @@
 """What must hold for tables of any size: nothing that grows with them is sent to the driver, held by a Python worker or built twice."""
 
-from scenequill.plans import more, registry  # noqa: F401  more adds its queries to those of registry
+from scenequill.operators import poses
+from scenequill.plans import more, registry  # more adds its queries to those of registry
 
 
 def plan(df):
@@ -36,3 +37,17 @@ def test_nearest_distances_hold_no_pairs_of_clouds(spark):
         want.append((s, a, b, d.mean(), d.min(), d.max(), len(d)))
     assert [g[:3] + g[6:] for g in got] == [w[:3] + w[6:] for w in sorted(want)]
     assert np.allclose([g[3:6] for g in got], [w[3:6] for w in sorted(want)], atol=1e-9)
+
+
+def test_pose_samples_are_made_in_their_row(spark, sf_dir):
+    """Questions were exploded, gathered again and joined to the poses, and every pair of joints had its texts made to be cut off."""
+    df = registry.QUERIES["pose_samples"](spark, sf_dir)
+    text = plan(df)
+    assert "Join" not in text and "explode" not in text.split("collect_list")[0] and text.count("Exchange hashpartitioning") == 1
+    p = more.pose_table(spark, sf_dir).limit(3)
+    for most in (1, 5, 14, 1000):
+        asked = {}
+        for r in poses.pose_questions(p, most).orderBy("pose_id", "nth").collect():
+            asked.setdefault(r["pose_id"], []).append((r["question"], r["answer"]))
+        got = {r["pose_id"]: [(m[0]["content"][1]["text"], m[1]["content"][0]["text"]) for m in r["pose_messages"]] for r in poses.pose_samples(p, most).collect()}
+        assert got == asked and len(got) == 3 and all(len(v) <= most for v in got.values())
